@@ -1,0 +1,22 @@
+"""Where a job may put files that other tasks of the same job read back."""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared one.
+
+    Only a session on one machine may do without ``spark.checkpoint.dir``; the
+    executors of a cluster would not see a folder of the driver machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        shared = tempfile.mkdtemp(prefix="amity-")
+    return f"{shared.rstrip('/')}/{uuid4()}"
