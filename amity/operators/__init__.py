@@ -2,6 +2,7 @@ from amity.operators.accesses import access_stats, top_pages, visits_per_page
 from amity.operators.activity import inactive_users, inactive_users_minutes, latest_access
 from amity.operators.friends import (
     owners_visiting_no_friend,
+    owners_visiting_no_friend_merged,
     owners_with_unvisited_friend,
     relationship_counts,
     unvisited_friend_pairs,
@@ -23,6 +24,7 @@ __all__ = [
     "owner_degree_profiles",
     "owner_degrees",
     "owners_visiting_no_friend",
+    "owners_visiting_no_friend_merged",
     "owners_with_unvisited_friend",
     "popularity_labels",
     "record_quality",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from amity.functions import parse_long
 from amity.operators.users import one_profile_per_id
+from amity.schemas import ACCESS_LOGS
+from amity.sources import raw_from_lines
 
 # What is known of a pair (A, B); a pair that is both carries both bits.
 FRIEND, VISITED = 1, 2
@@ -34,12 +37,16 @@ def relationship_counts(users: DataFrame, associates: DataFrame) -> DataFrame:
     )
 
 
-def _marked(df: DataFrame, a: str, b: str, mark: int) -> DataFrame:
-    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
-        F.col(a).alias("PersonA_ID"), F.col(b).alias("PersonB_ID"), F.lit(mark).alias("mark")
+def _marked(df: DataFrame, a: Column, b: Column, mark: Column) -> DataFrame:
+    return df.where(a.isNotNull() & b.isNotNull()).select(
+        a.alias("PersonA_ID"), b.alias("PersonB_ID"), mark.alias("mark")
     )
 
 
+def _once(marked: DataFrame) -> DataFrame:
+    return marked.groupBy("PersonA_ID", "PersonB_ID").agg(F.bit_or("mark").alias("mark"))
+
+
 def marked_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:
     """Every pair that is a friendship, a visit or both, once, with its bits.
 
@@ -48,11 +55,25 @@ def marked_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:
     merged map-side, so neither an owner with very many friends nor a visit
     repeated very often ends up in one task.
     """
-    return (
-        _marked(associates, "PersonA_ID", "PersonB_ID", FRIEND)
-        .unionByName(_marked(logs, "ByWho", "WhatPage", VISITED))
-        .groupBy("PersonA_ID", "PersonB_ID")
-        .agg(F.bit_or("mark").alias("mark"))
+    friends = _marked(associates, F.col("PersonA_ID"), F.col("PersonB_ID"), F.lit(FRIEND))
+    visits = _marked(logs, F.col("ByWho"), F.col("WhatPage"), F.lit(VISITED))
+    return _once(friends.unionByName(visits))
+
+
+def marked_pairs_merged(lines: DataFrame) -> DataFrame:
+    """The same from one file of friendships (3 fields) and accesses (5), read once.
+
+    Both kinds of line hold the pair in their second and third field.
+    """
+    raw = raw_from_lines(lines, ACCESS_LOGS)
+    mark = F.when(F.col("n_fields") == 3, FRIEND).when(F.col("n_fields") == 5, VISITED)
+    return _once(
+        _marked(
+            raw.where(F.col("n_fields").isin(3, 5)),
+            parse_long(F.col("ByWho")),
+            parse_long(F.col("WhatPage")),
+            mark,
+        )
     )
 
 
@@ -70,17 +91,21 @@ def owners_with_unvisited_friend(associates: DataFrame, logs: DataFrame) -> Data
     return unvisited_friend_pairs(associates, logs).select("PersonA_ID").distinct()
 
 
-def owners_visiting_no_friend(associates: DataFrame, logs: DataFrame) -> DataFrame:
-    """Owners who have friends and visited the page of none of them.
-
-    The greatest mark among an owner's friendships tells whether any was
-    visited; no set of friends is ever built.
-    """
+def _without_visited_friend(pairs: DataFrame) -> DataFrame:
+    """The greatest mark among an owner's friendships tells whether any was visited."""
     return (
-        marked_pairs(associates, logs)
-        .where(F.col("mark") != VISITED)
+        pairs.where(F.col("mark") != VISITED)
         .groupBy("PersonA_ID")
         .agg(F.max("mark").alias("mark"))
         .where(F.col("mark") == FRIEND)
         .select("PersonA_ID")
     )
+
+
+def owners_visiting_no_friend(associates: DataFrame, logs: DataFrame) -> DataFrame:
+    """Owners who have friends and visited the page of none of them."""
+    return _without_visited_friend(marked_pairs(associates, logs))
+
+
+def owners_visiting_no_friend_merged(lines: DataFrame) -> DataFrame:
+    return _without_visited_friend(marked_pairs_merged(lines))

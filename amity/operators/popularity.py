@@ -30,7 +30,9 @@ def popularity_labels(
     """
     degrees = owner_degrees(associates)
     if users is not None:
-        ids = users.select(F.col("ID").alias("PersonA_ID")).dropna().distinct()
+        ids = (
+            users.where(F.col("ID").isNotNull()).select(F.col("ID").alias("PersonA_ID")).distinct()
+        )
         degrees = ids.join(degrees, "PersonA_ID", "left").fillna(0, "n")
     return degrees.select(
         F.col("PersonA_ID").alias("owner"),

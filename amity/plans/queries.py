@@ -363,7 +363,7 @@ _register(
 )
 _register(
     "owners_visiting_no_friend_merged",
-    lambda s, d: ops.owners_visiting_no_friend(*sources.split_merged(v.merged_lines(s, d))),
+    lambda s, d: ops.owners_visiting_no_friend_merged(v.merged_lines(s, d)),
     _VISITING_NONE.replace("{graph}", "{associates}"),
 )
 

@@ -23,7 +23,6 @@ from amity.sources import (
     read_access_logs,
     read_associates,
     read_users,
-    split_merged,
 )
 
 
@@ -87,8 +86,7 @@ def task_f(spark: SparkSession, associates: str, logs: str, out: str) -> None:
 
 def task_f_alternative(spark: SparkSession, merged: str, out: str) -> None:
     """Owners who visited no friend at all, from one file of friendships and accesses."""
-    friends, accesses = split_merged(spark.read.text(merged))
-    owners = ops.owners_visiting_no_friend(friends, accesses)
+    owners = ops.owners_visiting_no_friend_merged(spark.read.text(merged))
     write_text(owners.select("PersonA_ID", F.lit(NEVER_ACCESSED)), out)
 
 

@@ -1,0 +1,296 @@
+"""Edge cases on hand-made rows."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import types as T
+
+from amity import operators as ops
+from amity.functions import minutes_cutoff
+from amity.functions.time import INACTIVITY_MILLIS
+from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
+
+
+@pytest.fixture
+def users(spark):
+    return lambda *data: spark.createDataFrame(list(data), USERS)
+
+
+@pytest.fixture
+def friends(spark):
+    """Friendships from pairs."""
+    return lambda *pairs: spark.createDataFrame(
+        [(i, a, b, 1, "Friend") for i, (a, b) in enumerate(pairs, 1)], ASSOCIATES
+    )
+
+
+@pytest.fixture
+def visits(spark):
+    """Accesses from (visitor, page) or (visitor, page, time)."""
+    return lambda *data: spark.createDataFrame(
+        [(i, v, p, "Viewed", t[0] if t else 1) for i, (v, p, *t) in enumerate(data, 1)], ACCESS_LOGS
+    )
+
+
+ANN = (1, "Ann", "India", 3, "Boxing")
+BO = (2, "Bo", "india", 3, "Reading")
+CY = (3, "Cy", "Cuba", 4, "Boxing")
+
+
+class TestNationality:
+    def test_exact(self, users, rows):
+        assert rows(ops.users_by_nationality(users(ANN, BO, CY))) == [("Ann", "Boxing")]
+
+    def test_ignoring_case(self, users, rows):
+        got = ops.users_by_nationality(users(ANN, BO, CY), "INDIA", ignore_case=True)
+        assert rows(got) == [("Ann", "Boxing"), ("Bo", "Reading")]
+
+    def test_equal_rows_are_kept(self, users, rows):
+        twin = (9, "Ann", "India", 7, "Boxing")
+        assert rows(ops.users_by_nationality(users(ANN, twin))) == [("Ann", "Boxing")] * 2
+
+    @pytest.mark.parametrize(
+        "stored, asked, same",
+        [
+            ("ındİa", "India", True),
+            ("Kenya", "kenya", True),
+            ("Μάλτας", "ΜΆΛΤΑΣ", True),
+            ("strasse", "straße", False),
+            ("Indian", "India", False),
+            ("India\n", "India", False),
+            ("C.te d'Ivoire", "c.te D'ivoire", True),
+            ("Cote d'Ivoire", "C.te d'Ivoire", False),
+            (r"a\Eb", r"A\eB", True),
+        ],
+    )
+    def test_case_rules(self, users, stored, asked, same):
+        found = ops.users_by_nationality(users((1, "N", stored, 1, "H")), asked, ignore_case=True)
+        assert found.count() == same
+
+    def test_null_is_no_nationality(self, users):
+        nobody = users((1, "N", None, 1, "H"))
+        assert ops.users_by_nationality(nobody, ignore_case=True).count() == 0
+
+
+class TestUserCounts:
+    def test_by_nationality(self, users, rows):
+        got = ops.users_per_nationality(users(ANN, BO, CY, ANN))
+        assert rows(got) == [("Cuba", 1), ("India", 2), ("india", 1)]
+
+    def test_by_country_code(self, users, rows):
+        got = ops.users_per_country_code(users(ANN, BO, CY, (4, "D", "X", None, "H")))
+        assert rows(got) == [(3, 2), (4, 1)]
+
+
+class TestTopPages:
+    def test_lower_page_wins_a_tie_at_the_last_rank(self, users, visits):
+        logs = visits(*[(1, p) for p in [5, 5, 9, 7, 8]])
+        got = [tuple(r) for r in ops.top_pages(logs, users(ANN), k=3).collect()]
+        assert [(r[0], r[3]) for r in got] == [(5, 2), (7, 1), (8, 1)]
+
+    def test_ordered_by_visits_then_page(self, users, visits):
+        logs = visits(*[(1, p) for p in range(12, 0, -1) for _ in range(p % 4 + 1)])
+        got = [(r.WhatPage, r.n) for r in ops.top_pages(logs, users(ANN)).collect()]
+        assert got == sorted(got, key=lambda r: (-r[1], r[0])) and len(got) == 10
+
+    def test_unknown_owner(self, users, visits, rows):
+        got = ops.top_pages(visits((1, 77), (1, 77), (2, 1)), users(ANN))
+        assert rows(got) == [(1, "Ann", "India", 1), (77, "Unknown", "Unknown", 2)]
+
+    def test_unreadable_profile_is_unknown(self, users, visits, rows):
+        got = ops.top_pages(visits((1, 1)), users((1, None, None, 1, "H")))
+        assert rows(got) == [(1, "Unknown", "Unknown", 1)]
+
+    def test_without_count(self, users, visits):
+        got = ops.top_pages(visits((1, 1)), users(ANN), with_count=False)
+        assert got.columns == ["WhatPage", "Name", "Nationality"]
+
+    def test_repeated_user_does_not_repeat_a_page(self, users, visits, rows):
+        again = (1, "Zed", "Fiji", 3, "Boxing")
+        got = ops.top_pages(visits((1, 1), (2, 1)), users(ANN, again))
+        assert rows(got) == [(1, "Zed", "Fiji", 2)]
+
+    def test_large_k_needs_no_broadcast(self, users, visits, rows):
+        got = ops.top_pages(visits((1, 1), (2, 77)), users(ANN), k=5_000_000)
+        assert rows(got) == [(1, "Ann", "India", 1), (77, "Unknown", "Unknown", 1)]
+
+    def test_unreadable_page_does_not_count(self, users, visits, rows):
+        got = ops.top_pages(visits((1, None), (1, 1)), users(ANN))
+        assert rows(got) == [(1, "Ann", "India", 1)]
+
+
+class TestRelationshipCounts:
+    def test_both_sides_count_and_none_is_zero(self, users, friends, rows):
+        got = ops.relationship_counts(users(ANN, BO, CY), friends((1, 2), (2, 1), (1, 99)))
+        assert rows(got) == [(1, "Ann", 3), (2, "Bo", 2), (3, "Cy", 0)]
+
+    def test_repeated_friendship_counts_twice(self, users, friends, rows):
+        got = ops.relationship_counts(users(ANN), friends((1, 2), (1, 2)))
+        assert rows(got) == [(1, "Ann", 2)]
+
+    def test_same_name_is_not_merged(self, users, friends, rows):
+        got = ops.relationship_counts(users(ANN, (5, "Ann", "X", 1, "H")), friends((1, 5)))
+        assert rows(got) == [(1, "Ann", 1), (5, "Ann", 1)]
+
+    def test_one_row_per_id(self, users, friends, rows):
+        got = ops.relationship_counts(users(ANN, ANN), friends((1, 2)))
+        assert rows(got) == [(1, "Ann", 1)]
+
+
+class TestAccessStats:
+    def test_repeated_page(self, visits, rows):
+        got = ops.access_stats(visits((1, 5), (1, 5), (1, 6), (2, 5)))
+        assert rows(got) == [(1, 3, 2), (2, 1, 1)]
+
+    def test_formatted(self, visits, rows):
+        got = ops.access_stats(visits((1, 5), (1, 5)), formatted=True)
+        assert rows(got) == [(1, "TotalAccesses: 2, DistinctPages: 1")]
+
+    @pytest.mark.parametrize("order, want", [("numeric", [2, 9, 10, 100]), ("text", [10, 100, 2, 9])])
+    def test_order(self, visits, order, want):
+        logs = visits((10, 1), (2, 1), (100, 1), (9, 1))
+        assert [r.ByWho for r in ops.access_stats(logs, order_key=order).collect()] == want
+
+    def test_numeric_order_of_text_ids(self, spark):
+        logs = spark.createDataFrame([("10", "a"), ("9", "a"), ("100", "a")], "ByWho string, WhatPage string")
+        got = [r.ByWho for r in ops.access_stats(logs, order_key="numeric").collect()]
+        assert got == ["9", "10", "100"]
+
+    def test_unknown_order(self, visits):
+        with pytest.raises(ValueError):
+            ops.access_stats(visits((1, 1)), order_key="random")
+
+
+class TestUnvisitedFriends:
+    def test_one_visited_one_not(self, friends, visits, rows):
+        a, logs = friends((1, 2), (1, 3)), visits((1, 2))
+        assert rows(ops.unvisited_friend_pairs(a, logs)) == [(1, 3)]
+        assert rows(ops.owners_with_unvisited_friend(a, logs)) == [(1,)]
+        assert rows(ops.owners_visiting_no_friend(a, logs)) == []
+
+    def test_none_visited(self, friends, visits, rows):
+        a, logs = friends((1, 2), (1, 3)), visits((1, 9), (2, 1))
+        assert rows(ops.unvisited_friend_pairs(a, logs)) == [(1, 2), (1, 3)]
+        assert rows(ops.owners_with_unvisited_friend(a, logs)) == [(1,)]
+        assert rows(ops.owners_visiting_no_friend(a, logs)) == [(1,)]
+
+    def test_all_visited(self, friends, visits, rows):
+        a, logs = friends((1, 2)), visits((1, 2), (1, 2))
+        assert rows(ops.unvisited_friend_pairs(a, logs)) == []
+        assert rows(ops.owners_visiting_no_friend(a, logs)) == []
+
+    def test_visits_without_friends_report_nobody(self, friends, visits, rows):
+        a, logs = friends((1, 2)), visits((7, 8))
+        assert rows(ops.owners_visiting_no_friend(a, logs)) == [(1,)]
+
+    def test_repeated_friendship_is_one_pair(self, friends, visits, rows):
+        assert rows(ops.unvisited_friend_pairs(friends((1, 2), (1, 2)), visits((5, 5)))) == [(1, 2)]
+
+    def test_direction_matters(self, friends, visits, rows):
+        assert rows(ops.unvisited_friend_pairs(friends((1, 2)), visits((2, 1)))) == [(1, 2)]
+
+    def test_merged_lines(self, spark, rows):
+        lines = spark.createDataFrame(
+            [
+                ("FriendRel,PersonA_ID,PersonB_ID",),
+                ("AccessId,ByWho,WhatPage,TypeOfAccess,AccessTime",),
+                ("1,1,2",), ("2, 1 ,3",), ("3,4,5",), ("4,6,7,,",), ("5,8",), ("6,x,7",),
+                ("1,1,2,Viewed,5",), ("2,4,9,Viewed,5",), ("3,6,7,Viewed,5,extra",),
+            ],
+            "value string",
+        )
+        # 1 visited 2; 4 visited no friend; "4,6,7,," has three fields; the line with six is no access
+        assert rows(ops.owners_visiting_no_friend_merged(lines)) == [(4,), (6,)]
+
+
+class TestInactiveUsers:
+    NOW = 10 * INACTIVITY_MILLIS
+
+    def test_boundary_is_not_reported(self, visits, rows):
+        edge = self.NOW - INACTIVITY_MILLIS
+        logs = visits((1, 1, edge), (2, 1, edge - 1), (3, 1, edge + 1))
+        assert rows(ops.inactive_users(logs, self.NOW)) == [(2,)]
+
+    def test_last_access_decides(self, visits, rows):
+        logs = visits((1, 1, 5), (1, 1, self.NOW), (2, 1, 5))
+        assert rows(ops.inactive_users(logs, self.NOW)) == [(2,)]
+
+    def test_negative_time_counts_as_zero(self, visits, rows):
+        logs = visits((1, 1, -50))
+        assert rows(ops.latest_access(logs)) == [(1, 0)]
+        assert rows(ops.inactive_users(logs, 100, 100)) == []
+
+    def test_unreadable_time_is_no_access(self, visits, rows):
+        assert rows(ops.inactive_users(visits((1, 1, None)), self.NOW)) == []
+
+    def test_timestamps(self, spark, rows):
+        at = datetime(2024, 1, 10)
+        for kind in ("timestamp", "timestamp_ntz"):
+            logs = spark.createDataFrame(
+                [(1, at), (2, at - timedelta(microseconds=1))], f"ByWho bigint, AccessTime {kind}"
+            )
+            got = ops.inactive_users(logs, at + timedelta(days=90), timedelta(days=90))
+            assert rows(got) == [(2,)]
+
+    def test_minutes(self, visits, rows):
+        cutoff = minutes_cutoff(1_697_670_822)
+        assert cutoff == pytest.approx(28_164_913.7)
+        logs = visits((1, 1, 28_164_913), (2, 1, 28_164_914))
+        assert rows(ops.inactive_users_minutes(logs, cutoff)) == [(1,)]
+
+
+class TestPopularity:
+    def test_more_than_one_is_more_popular(self, friends, rows):
+        got = ops.popularity_labels(friends((1, 2), (3, 1), (3, 2)))
+        assert rows(got) == [(1, "Not More Popular"), (3, "More Popular")]
+
+    def test_threshold(self, friends, rows):
+        got = ops.popularity_labels(friends((3, 1), (3, 2)), threshold=2)
+        assert rows(got) == [(3, "Not More Popular")]
+
+    def test_all_users(self, users, friends, rows):
+        got = ops.popularity_labels(friends((1, 2), (1, 3), (9, 1), (9, 2)), users=users(ANN, BO))
+        assert rows(got) == [(1, "More Popular"), (2, "Not More Popular")]
+
+    def test_profiles(self, users, friends, rows):
+        got = ops.owner_degree_profiles(friends((1, 2), (1, 3), (9, 1)), users(ANN, BO))
+        assert rows(got) == [(1, 2, 1, "Ann", "India", 3, "Boxing")]
+        assert got.columns == [
+            "PersonA_ID", "n", "ID", "Name", "Nationality", "CountryCod", "Hobby"
+        ]
+
+
+class TestQuality:
+    def test_row_counts(self, users, visits, rows):
+        got = ops.row_counts({"users": users(ANN, BO), "logs": visits((1, 1))})
+        assert rows(got) == [("logs", 1), ("users", 2)]
+
+    def test_clean_tables(self, users, friends, visits):
+        got = ops.contract_violations(users(ANN, BO, CY), friends((1, 2), (2, 3)), visits((1, 2)))
+        assert [r.n for r in got.collect()] == [0] * 9
+
+    def test_every_rule(self, spark, users, rows):
+        people = users(ANN, ANN, (0, "Z", "X", 51, "H"), (200_001, "Z", "X", None, "H"))
+        ties = spark.createDataFrame(
+            [(1, 1, 2), (1, 2, 1), (2, 2, 1), (3, 3, 3), (4, 0, 5), (5, 5, None)],
+            T.StructType(ASSOCIATES.fields[:3]),
+        )
+        logs = spark.createDataFrame(
+            [(1, 1, 2), (1, 1, 2), (1, 1, 2), (None, 1, 2), (None, 0, 2)],
+            T.StructType(ACCESS_LOGS.fields[:3]),
+        )
+        assert dict(rows(ops.contract_violations(people, ties, logs))) == {
+            "users.repeated_id": 1,
+            "users.id_range": 2,
+            "users.country_code_range": 2,
+            "associates.repeated_id": 1,
+            "associates.person_range": 2,
+            "associates.self_friend": 1,
+            "associates.reciprocal": 1,
+            "access_logs.repeated_id": 1,
+            "access_logs.person_range": 1,
+        }
+
+    def test_empty_tables(self, spark):
+        empty = [spark.createDataFrame([], t) for t in (USERS, ASSOCIATES, ACCESS_LOGS)]
+        assert [r.n for r in ops.contract_violations(*empty).collect()] == [0] * 9
