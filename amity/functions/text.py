@@ -30,8 +30,8 @@ def field_count(line: Column) -> Column:
 
 
 def parse_long(col: Column, dtype: str = "bigint") -> Column:
-    """Whole number or NULL; never an error, whatever the text holds."""
-    return trim_controls(col).try_cast(dtype)
+    """Whole number or NULL, never an error; the cast itself trims blanks."""
+    return col.try_cast(dtype)
 
 
 def equals_ignore_case(col: Column, value: str) -> Column:

@@ -80,32 +80,22 @@ def _rows_before(owner: str, n: int) -> str:
     return f"(({owner} - 1) * (2 * {n}L - ({owner}))) div 2"
 
 
-def generate_associates(
-    spark: SparkSession, n_users: int = N_USERS, max_rel: int = N_ASSOCIATES, seed: int = 0
-) -> DataFrame:
-    """All pairs A < B in order, cut after ``max_rel``; FriendRel is the running number.
+def associates_rows(numbers: DataFrame, n_users: int, seed: int = 0) -> DataFrame:
+    """The friendship of every ``FriendRel``, where all pairs A < B are numbered in order.
 
-    Row ``r`` is turned into its pair directly. Owner ``i`` starts after
-    ``(i - 1) * (2 * n - i) / 2`` rows; solving that for ``i`` gives the owner to
-    within one, and whole-number comparisons settle it.
+    Owner ``i`` starts after ``(i - 1) * (2 * n - i) / 2`` rows; solving that for
+    ``i`` gives the owner to within one, and whole-number comparisons settle it.
     """
-    if n_users > MAX_USERS:
-        raise ValueError(f"more than {MAX_USERS} users would overflow 64-bit arithmetic")
     n = n_users
-    rows = spark.range(1, min(max_rel, n * (n - 1) // 2) + 1).withColumnRenamed("id", "FriendRel")
-    guess = f"(2 * {n}L - sqrt((2 * {n}L - 1) * (2 * {n}L - 1) - 8 * (FriendRel - 1)) + 1) / 2"
-    owners = rows.withColumn("owner", F.expr(f"cast(floor({guess}) as bigint)"))
-    starts = owners.select(
+    root = f"sqrt((2 * {n}L - 1) * (2 * {n}L - 1) - 8 * (FriendRel - 1))"
+    guess = numbers.withColumn("owner", F.expr(f"cast(floor((2 * {n}L + 1 - {root}) / 2) as bigint)"))
+    settled = guess.select(
         "FriendRel",
-        "owner",
-        F.expr(_rows_before("owner", n)).alias("start"),
-        F.expr(_rows_before("owner + 1", n)).alias("next"),
-    )
-    settled = starts.select(
-        "FriendRel",
-        F.expr("""CASE WHEN FriendRel <= start THEN owner - 1
-                       WHEN FriendRel > next THEN owner + 1
-                       ELSE owner END""").alias("PersonA_ID"),
+        F.expr(f"""
+            CASE WHEN FriendRel <= {_rows_before("owner", n)} THEN owner - 1
+                 WHEN FriendRel > {_rows_before("owner + 1", n)} THEN owner + 1
+                 ELSE owner END
+        """).alias("PersonA_ID"),
     )
     return settled.select(
         "FriendRel",
@@ -116,14 +106,32 @@ def generate_associates(
     )
 
 
+def generate_associates(
+    spark: SparkSession, n_users: int = N_USERS, max_rel: int = N_ASSOCIATES, seed: int = 0
+) -> DataFrame:
+    """All pairs A < B in order, cut after ``max_rel``; FriendRel is the running number.
+
+    Each row is worked out from its number alone: no self join, and equal tasks
+    although the first owners have nearly all friendships.
+    """
+    if n_users > MAX_USERS:
+        raise ValueError(f"more than {MAX_USERS} users would overflow 64-bit arithmetic")
+    rows = min(max_rel, n_users * (n_users - 1) // 2)
+    return associates_rows(spark.range(1, rows + 1).toDF("FriendRel"), n_users, seed)
+
+
+def access_log_rows(numbers: DataFrame, n_users: int, seed: int = 0) -> DataFrame:
+    """The access of every ``AccessId``: visitor, page, type and time, all evenly spread."""
+    return numbers.select(
+        "AccessId",
+        _draw("AccessId", "visitor", seed, n_users).alias("ByWho"),
+        _draw("AccessId", "page", seed, n_users).alias("WhatPage"),
+        _pick("AccessId", "type", seed, ACCESS_TYPES).alias("TypeOfAccess"),
+        _draw("AccessId", "time", seed, MAX_TIME).alias("AccessTime"),
+    )
+
+
 def generate_access_logs(
     spark: SparkSession, n: int = N_ACCESS_LOGS, n_users: int = N_USERS, seed: int = 0
 ) -> DataFrame:
-    """Visitor, page, type and time, all evenly spread."""
-    return spark.range(1, n + 1).select(
-        F.col("id").alias("AccessId"),
-        _draw("id", "visitor", seed, n_users).alias("ByWho"),
-        _draw("id", "page", seed, n_users).alias("WhatPage"),
-        _pick("id", "type", seed, ACCESS_TYPES).alias("TypeOfAccess"),
-        _draw("id", "time", seed, MAX_TIME).alias("AccessTime"),
-    )
+    return access_log_rows(spark.range(1, n + 1).toDF("AccessId"), n_users, seed)

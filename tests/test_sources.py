@@ -20,6 +20,8 @@ USER_LINES = [
     "x8,NoId,India,6,Boxing",
     ",,,,",
     "9,Gap,,,Boxing",
+    "10,Far,India,6,Boxing,,x",
+    '11,"Say ""Hi"", Bo",India,6,"Boxing",",",',
 ]
 
 
@@ -42,9 +44,9 @@ class TestUsers:
     @pytest.mark.parametrize(
         "fields, want",
         [
-            (AT_LEAST_5, ["Ann", "Extra", "Gap", "Lee, Bo", "NoId", "Tab", "Trail"]),
+            (AT_LEAST_5, ["Ann", "Extra", "Far", "Gap", "Lee, Bo", "NoId", 'Say "Hi", Bo', "Tab", "Trail"]),
             (EXACTLY_5, ["Ann", "Gap", "Lee, Bo", "NoId", "Tab", "Trail"]),
-            (AT_LEAST_3, ["Ann", "EmptyLast", "Extra", "Gap", "Lee, Bo", "NoId", "Short", "Tab", "Trail"]),
+            (AT_LEAST_3, ["Ann", "EmptyLast", "Extra", "Far", "Gap", "Lee, Bo", "NoId", 'Say "Hi", Bo', "Short", "Tab", "Trail"]),
             (Fields(3, 4), ["EmptyLast", "Short"]),
         ],
     )
@@ -67,7 +69,7 @@ class TestUsers:
 
     def test_header_in_every_file_of_a_folder(self, spark, tmp_path):
         for i in range(3):
-            (tmp_path / f"{i}.csv").write_text(f"ID,Name,Nationality,CountryCod,Hobby\n{i},N,X,1,H\n")
+            (tmp_path / f"{i}.csv").write_text(f" ID ,Name,Nationality,CountryCod,Hobby\n{i},N,X,1,H\n")
         assert sources.read_users(spark, str(tmp_path)).count() == 3
 
 
@@ -94,13 +96,21 @@ class TestOtherTables:
 
 class TestLines:
     def test_same_shape_as_from_a_file(self, spark, write, rows):
-        plain = [l for l in USER_LINES[1:] if '"' not in l and l]
-        lines = spark.createDataFrame([(l,) for l in plain], "value string")
+        lines = spark.createDataFrame([(l,) for l in USER_LINES[1:]], "value string")
         for fields in (AT_LEAST_5, EXACTLY_5, AT_LEAST_3):
-            file = sources.read_users(spark, write(USER_LINES[:1] + plain), fields)
+            file = sources.read_users(spark, write(USER_LINES), fields)
             got = sources.typed(sources.raw_from_lines(lines, USERS), USERS, fields)
-            # An empty field is NULL in a file and empty in a line.
-            assert rows(got.select("ID", "Hobby")) == rows(file.select("ID", "Hobby"))
+            assert rows(got) == rows(file)
+
+    def test_empty_field_inside_is_empty_text(self, spark, write, rows):
+        path = write(["9,Gap,,,Boxing", '9,"Gap",,,Boxing'])
+        assert rows(sources.read_users(spark, path)) == [(9, "Gap", "", None, "Boxing")] * 2
+
+    def test_a_line_is_split_once(self, spark, write):
+        df = sources.read_access_logs(spark, write(["1,1,2,Poked,5"]), EXACTLY_5)
+        df = df.where("ByWho IS NOT NULL AND AccessTime > 3")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("split(rtrim(value") == 1 + plan.count("size(split(rtrim(value")
 
     def test_split_merged(self, spark, rows):
         lines = spark.createDataFrame(
