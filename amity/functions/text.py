@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Everything up to and including the space character counts as blank.
 BLANKS = "".join(map(chr, range(0x21)))
+PADDED_NUMBER = r"^[\x00-\x20]++[+-]?[0-9]++[\x00-\x20]*+$"
 
 
 def trim_controls(col: Column) -> Column:
@@ -30,8 +31,15 @@ def field_count(line: Column) -> Column:
 
 
 def parse_long(col: Column, dtype: str = "bigint") -> Column:
-    """Whole number or NULL, never an error; the cast itself trims blanks."""
-    return col.try_cast(dtype)
+    """Whole number or NULL, never an error; the cast itself trims blanks.
+
+    ``try_cast`` alone would do, but inside it every bad value costs a Java
+    exception. So text that starts with a letter, or with a blank and is no
+    number, does not get there; "+" to ":" is the range of signs and digits.
+    """
+    number = col.try_cast(dtype)
+    padded = (col != "") & (col < "!") & col.rlike(PADDED_NUMBER)
+    return F.when((col >= "+") & (col < ":"), number).when(padded, number)
 
 
 def equals_ignore_case(col: Column, value: str) -> Column:

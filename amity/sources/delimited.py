@@ -31,10 +31,6 @@ AT_LEAST_5 = Fields(5)
 EXACTLY_5 = Fields(5, 5)
 
 
-# A comma with an even number of quotes after it.
-SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
 def raw_from_lines(lines: DataFrame, table: T.StructType) -> DataFrame:
     """Text columns of ``table`` and ``n_fields`` from a column ``value`` of lines.
 
@@ -42,16 +38,22 @@ def raw_from_lines(lines: DataFrame, table: T.StructType) -> DataFrame:
     keeps later filters on the fields from being pushed below the split, where
     each of them would split the line again.
     """
-    line = F.col("value")
+    line, names = F.col("value"), table.fieldNames()
     quoted = F.contains(line, F.lit('"'))
-    record = F.from_csv(line, _text_ddl(table), {"escape": '"'})
-    parsed = F.array(*[F.coalesce(record.getField(n), F.lit("")) for n in table.fieldNames()])
-    fields = F.when(quoted, parsed).otherwise(split_fields(line))
-    return lines.select("value", F.explode(F.array(fields)).alias("f")).select(
-        *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(table.fieldNames())],
-        F.when(quoted, F.size(F.split(F.rtrim(line, F.lit(",")), SEPARATOR)))
-        .otherwise(F.size("f"))
-        .alias("n_fields"),
+    once = F.struct(
+        F.when(~quoted, split_fields(line)).alias("plain"),
+        F.when(quoted, F.from_csv(line, _text_ddl(table), {"escape": '"'})).alias("csv"),
+        F.when(quoted, field_count(F.regexp_replace(line, '"[^"]*"', '"'))).alias("n_csv"),
+    )
+    return lines.select(F.explode(F.array(once)).alias("r")).select(
+        *[
+            F.coalesce(
+                F.get("r.plain", F.lit(i)),
+                F.when(F.col("r.n_csv") > i, F.coalesce(F.col(f"r.csv.`{n}`"), F.lit(""))),
+            ).alias(n)
+            for i, n in enumerate(names)
+        ],
+        F.coalesce("r.n_csv", F.size("r.plain")).alias("n_fields"),
     )
 
 

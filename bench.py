@@ -1,7 +1,8 @@
 """Time the queries on one machine and print one line of JSON.
 
-Each query runs once unmeasured, then three times, its whole result computed and
-thrown away; the median counts. Queries that write files do so in every run.
+All queries run once unmeasured. Then each runs three times, its whole result
+computed and thrown away, and the median counts. A run includes building the
+query; queries that write files write them anew in every run.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    seconds = {}
-    for name in only or QUERIES:
+    names = only or list(QUERIES)
+    for name in names:
         run(name)
-        seconds[name] = round(statistics.median(run(name) for _ in range(REPEATS)), 3)
+    seconds = {n: round(statistics.median(run(n) for _ in range(REPEATS)), 3) for n in names}
     spark.stop()
     print(json.dumps({
         "metric": "total_query_time",
