@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,25 +40,27 @@ def raw_from_lines(lines: DataFrame, table: T.StructType) -> DataFrame:
     """
     line, names = F.col("value"), table.fieldNames()
     quoted = F.contains(line, F.lit('"'))
-    once = F.struct(
-        F.when(~quoted, split_fields(line)).alias("plain"),
-        F.when(quoted, F.from_csv(line, _text_ddl(table), {"escape": '"'})).alias("csv"),
-        F.when(quoted, field_count(F.regexp_replace(line, '"[^"]*"', '"'))).alias("n_csv"),
-    )
-    return lines.select(F.explode(F.array(once)).alias("r")).select(
-        *[
-            F.coalesce(
-                F.get("r.plain", F.lit(i)),
-                F.when(F.col("r.n_csv") > i, F.coalesce(F.col(f"r.csv.`{n}`"), F.lit(""))),
-            ).alias(n)
-            for i, n in enumerate(names)
-        ],
-        F.coalesce("r.n_csv", F.size("r.plain")).alias("n_fields"),
+    text = ", ".join(f"`{n}` string" for n in names)
+    record = F.when(quoted, F.from_csv(line, text, {"escape": '"'}))
+    parsed = lines.select("value", F.explode(F.array(record)).alias("csv"))
+    fields = parsed.select(F.explode(F.array(_fields(line, names))).alias("f"))
+    return fields.select(
+        *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)], F.size("f").alias("n_fields")
     )
 
 
-def _text_ddl(table: T.StructType) -> str:
-    return ", ".join(f"`{n}` string" for n in table.fieldNames())
+def _fields(line: Column, names: list[str]) -> Column:
+    """The fields of a line, from its parsed record if it has quotes.
+
+    A record has the columns of the table, whatever the line has. With its
+    quoted parts taken out, the line tells how many fields there are: columns
+    beyond are cut off, and fields beyond the columns are only counted.
+    """
+    n = field_count(F.regexp_replace(line, '"[^"]*"', '"'))
+    columns = F.array(*[F.coalesce(F.col(f"csv.`{c}`"), F.lit("")) for c in names])
+    beyond = F.array_repeat(F.lit(""), F.greatest(n - len(names), F.lit(0)))
+    of_record = F.slice(F.concat(columns, beyond), 1, n)
+    return F.when(F.col("csv").isNotNull(), of_record).otherwise(split_fields(line))
 
 
 def read_raw(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
