@@ -7,6 +7,7 @@ from amity.operators.friends import (
     relationship_counts,
     unvisited_friend_pairs,
 )
+from amity.operators.ordering import ordered
 from amity.operators.popularity import owner_degree_profiles, owner_degrees, popularity_labels
 from amity.operators.quality import contract_violations, record_quality, row_counts
 from amity.operators.users import (
@@ -21,6 +22,7 @@ __all__ = [
     "inactive_users",
     "inactive_users_minutes",
     "latest_access",
+    "ordered",
     "owner_degree_profiles",
     "owner_degrees",
     "owners_visiting_no_friend",

@@ -324,7 +324,7 @@ def _split_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 _register(
     "split_fields",
     _split_fields,
-    f"""SELECT {_N_FIELDS} AS n_fields, split_part(value, ',', 1) AS first,
+    f"""SELECT CAST({_N_FIELDS} AS INTEGER) AS n_fields, split_part(value, ',', 1) AS first,
                CASE WHEN contains(value, ',') THEN substr(value, strpos(value, ',') + 1) END AS rest
         FROM {{raw_lines}}""",
 )
@@ -388,7 +388,7 @@ _register("read_users", _reread(v.users, sources.read_users), "SELECT * FROM {us
 _register(
     "read_associates",
     _reread(_dated_associates, sources.read_associates),
-    """SELECT * REPLACE (CAST("DateofFriendship" AS DATE) - DATE '1970-01-01'
+    """SELECT * REPLACE (CAST(CAST("DateofFriendship" AS DATE) - DATE '1970-01-01' AS INTEGER)
                          AS "DateofFriendship") FROM {associates}""",
 )
 _register(

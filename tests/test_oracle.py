@@ -25,6 +25,9 @@ def oracles():
     return connections
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz"}
+
+
 def _normal(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     picked = [tuple(row[i] for i in order) for row in rows]
@@ -39,6 +42,8 @@ def test_every_query_has_a_check():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, oracles, name, sf_dir):
     got = QUERIES[name](spark, sf_dir)
+    want_types = oracles[sf_dir].execute(f"DESCRIBE {SQL[name]}").fetchall()
+    assert dict(got.dtypes) == {column: TYPES[kind] for column, kind, *_ in want_types}
     want = oracles[sf_dir].execute(SQL[name])
     want_columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(want_columns)
