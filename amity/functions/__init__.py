@@ -4,6 +4,7 @@ from amity.functions.text import (
     field_count,
     parse_long,
     split_fields,
+    starts_like_number,
     trim_controls,
 )
 from amity.functions.time import minutes_cutoff, moment
@@ -16,5 +17,6 @@ __all__ = [
     "moment",
     "parse_long",
     "split_fields",
+    "starts_like_number",
     "trim_controls",
 ]

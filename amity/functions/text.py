@@ -32,16 +32,21 @@ def field_count(line: Column) -> Column:
     return F.size(split_fields(line))
 
 
+def starts_like_number(col: Column) -> Column:
+    """Whether text starts with a sign or digit; "+" to ":" is their range. Costs next to nothing."""
+    return (col >= "+") & (col < ":")
+
+
 def parse_long(col: Column, dtype: str = "bigint") -> Column:
     """Whole number or NULL, never an error; the cast itself trims blanks.
 
     ``try_cast`` alone would do, but inside it every bad value costs a Java
     exception. So text that starts with a letter, or with a blank and is no
-    number, does not get there; "+" to ":" is the range of signs and digits.
+    number, does not get there.
     """
     number = col.try_cast(dtype)
     padded = (col != "") & (col < "!") & col.rlike(PADDED_NUMBER)
-    return F.when((col >= "+") & (col < ":"), number).when(padded, number)
+    return F.when(starts_like_number(col), number).when(padded, number)
 
 
 def equals_ignore_case(col: Column, value: str) -> Column:

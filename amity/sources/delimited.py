@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from amity.functions.text import field_count, parse_long, split_fields, trim_controls
+from amity.functions import (
+    field_count,
+    parse_long,
+    split_fields,
+    starts_like_number,
+    trim_controls,
+)
 from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
 
 
@@ -65,9 +71,10 @@ def _fields(line: Column, names: list[str]) -> Column:
 
 def read_raw(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
     """The same from files; header lines, known by the name of the first column, are left out."""
-    first = table.fieldNames()[0]
-    raw = raw_from_lines(spark.read.text(path), table)
-    return raw.where(trim_controls(F.col(first)) != first)
+    name = table.fieldNames()[0]
+    first = F.col(name)
+    is_data = starts_like_number(first) | (F.lower(trim_controls(first)) != name.lower())
+    return raw_from_lines(spark.read.text(path), table).where(is_data)
 
 
 def typed(raw: DataFrame, table: T.StructType, fields: Fields) -> DataFrame:

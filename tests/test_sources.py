@@ -68,8 +68,8 @@ class TestUsers:
         assert df.select("ID").count() == 6
 
     def test_header_in_every_file_of_a_folder(self, spark, tmp_path):
-        for i in range(3):
-            (tmp_path / f"{i}.csv").write_text(f" ID ,Name,Nationality,CountryCod,Hobby\n{i},N,X,1,H\n")
+        for i, first in enumerate([" ID ", "id", '"ID"']):
+            (tmp_path / f"{i}.csv").write_text(f"{first},Name,Nationality,CountryCod,Hobby\n{i},N,X,1,H\n")
         assert sources.read_users(spark, str(tmp_path)).count() == 3
 
 
