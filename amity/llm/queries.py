@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amity.llm.bpe import decode_documents, encode_documents
+from amity.llm.fingerprints import edited_fingerprints
+from amity.llm.maxscore import integer_components, top_k
 from amity.llm.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,8 +25,48 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return edited_fingerprints(docs).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
+def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    vectors = rows.select("vec_id", integer_components(F.col("embedding")).alias("vector"))
+    asked = vectors.where(F.col("vec_id") % 50 == 0)
+    n = rows.count()
+    return top_k(vectors, asked, n_rows=n, n_queries=-(-n // 50), k=5)
+
+
 QUERIES = {
+    "op5_prefix_hashes": op5_prefix_hashes,
+    "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_maxscore": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+            FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
