@@ -10,6 +10,7 @@ from amity.llm.bpe import decode_documents, encode_documents
 from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.maxscore import integer_components, top_k
 from amity.llm.tables import table
+from amity.llm.toxicity import fit, score_documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -25,6 +26,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out())
+    scored = score_documents(docs, fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def op5_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return edited_fingerprints(docs).select(
@@ -47,6 +65,7 @@ def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op5_prefix_hashes": op5_prefix_hashes,
     "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,
