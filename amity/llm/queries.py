@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from amity.llm.bpe import decode_documents, encode_documents
 from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.maxscore import integer_components, top_k
+from amity.llm.pii import KINDS, sanitise
 from amity.llm.tables import table
 from amity.llm.toxicity import fit, score_documents
 
@@ -43,6 +44,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise(table(spark, sf_dir, "documents", "doc_id", "text")).drop("sanitised", "text")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        "doc_id",
+        *map(number, KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return edited_fingerprints(docs).select(
@@ -66,6 +85,7 @@ def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_pii": op4_pii,
     "op5_prefix_hashes": op5_prefix_hashes,
     "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,

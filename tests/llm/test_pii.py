@@ -1,0 +1,123 @@
+import random
+import re
+from collections import Counter, defaultdict
+from math import log
+
+import pytest
+
+from amity.llm import pii
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(number):
+    twice = [d * 2 - 9 * (d > 4) if i % 2 else d for i, d in enumerate(map(int, reversed(number)))]
+    return sum(twice) % 10 == 0
+
+
+def valid(kind, value):
+    number = re.sub("[^0-9]", "", value)
+    return {
+        "email": lambda: True,
+        "ip": lambda: all(int(p) <= 255 for p in value.split(".")),
+        "card": lambda: 13 <= len(number) <= 19 and luhn(number),
+        "phone": lambda: 9 <= len(number) <= 15,
+    }[kind]()
+
+
+def plain_base(text):
+    return [
+        (kind, m.start(), m.end(), m.group())
+        for kind in pii.KINDS
+        for m in re.finditer(BASE[kind], text)
+        if valid(kind, m.group())
+    ]
+
+
+def plain_terms(texts):
+    different = sorted({t for t in texts})
+    beside = defaultdict(set)
+    n_entity, n_both, n_term = defaultdict(set), defaultdict(set), Counter()
+    for t in different:
+        n_term.update({w.lower() for w in re.findall(r"[^\W_]+", t)})
+        for kind, s, e, value in plain_base(t):
+            entity = kind + ":" + value.lower()
+            n_entity[entity].add(t)
+            for at, side in ((max(0, s - 120), t[max(0, s - 120) : s]), (e, t[e : e + 120])):
+                for m in re.finditer(r"[^\W_]+", side):
+                    if len(m.group()) >= 3:
+                        beside[t].add((entity, m.group().lower(), at + m.start(), at + m.end()))
+                        n_both[entity, m.group().lower()].add(t)
+    out = {}
+    for t in different:
+        found = set()
+        for entity, term, s, e in beside[t]:
+            both, of = len(n_both[entity, term]), len(n_entity[entity])
+            own = log(len(different) / of)
+            if both >= pii.MIN_SUPPORT and own > 0:
+                if log(len(different) * both / (n_term[term] * of)) / own >= pii.GENERALISE_AT - 1e-12:
+                    if not any(a < e and s < b for _, a, b, _ in plain_base(t)):
+                        found.add(("term", s, e))
+        out[t] = sorted(found)
+    return out
+
+
+TRICKY = [
+    "", "a@b.c@d.e", "a@b.c_x@y.z", "x@y", ".@-.-", "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.255 01.002.0003.4", "0000.0.0.0",
+    "4111 1111 1111 1111", "4111-1111-1111-1111 1", "41111111111111111111111", "5 5500000000000004", "+1 (377) 555-0271 x", "+1-",
+    "+12345678", "+123456789", "+1 (2) 3 .", "é\U0001f600 me@host.org 10.0.0.1", "4111111111111111@x.yz", "1" * 400 + ".1.1.1",
+    "+1 234 567 8901 2345 67", "a" * 3000 + "@b.cc", "4111  111111111111",
+]
+
+
+def test_base_forms(spark):
+    rng = random.Random(1)
+    texts = list(TRICKY)
+    for _ in range(400):
+        texts.append("".join(rng.choice(["1", "23", "4111111111111111", ".", "@", "a", "b.c", "+", " ", "-", "(", "é", "255", "x@y.z"]) for _ in range(rng.randint(1, 25))))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for r in df.select("id", pii.base_spans(df.text).alias("s")).collect():
+        assert [tuple(x) for x in r.s] == plain_base(texts[r.id]), texts[r.id]
+
+
+@pytest.mark.parametrize("text", ["9" * 200_000, "a.b-" * 60_000 + "@", "1 " * 100_000, "x@" + "y." * 60_000, "+1" + " " * 100_000])
+def test_very_long_runs(spark, text):
+    df = spark.createDataFrame([(text,)], "text string").repartition(1)
+    df.select(pii.base_spans(df.text).alias("s")).collect()
+
+
+def test_terms_against_brute_force(spark):
+    rng = random.Random(2)
+    words = ["word%d" % i for i in range(40)]
+    texts = []
+    for i in range(300):
+        body = [rng.choice(words) for _ in range(12)]
+        if i % 20 == 0:
+            body[5:5] = ["Zelda", "Quux", "zq@mail.org", "Strasse9"]
+        elif i % 20 == 1:
+            body[2:2] = ["common", "10.1.%d.4" % (i % 3)]
+        elif i % 7 == 0:
+            body.append("common")
+        texts.append(" ".join(body))
+    texts += [texts[0]] * 30 + [None, "", "one 10.9.9.9 once"]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, spans string, key string")
+    want = plain_terms([t or "" for t in texts])
+    rows = pii.sanitise(docs).collect()
+    assert len(rows) == len(texts)
+    hidden = 0
+    for r in rows:
+        t = texts[r.doc_id] or ""
+        got = [(s.kind, s.start, s.end) for s in r.spans]
+        assert got == [x[:3] for x in plain_base(t)] + want[t]
+        hidden += len(want[t])
+        for kind, s, e in got:
+            assert t[s:e] not in r.sanitised.split() or kind != "email"
+    assert hidden
+    first = next(r for r in rows if r.doc_id == 0)
+    assert "[EMAIL]" in first.sanitised and "Zelda" not in first.sanitised
+    assert pii.sanitise(docs.limit(0)).count() == 0
