@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from amity.llm.bpe import decode_documents, encode_documents
 from amity.llm.fingerprints import edited_fingerprints
+from amity.llm.html import extract
 from amity.llm.maxscore import integer_components, top_k
 from amity.llm.pii import KINDS, sanitise
 from amity.llm.tables import table
@@ -44,6 +45,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.array_join("main_blocks", "\n")
+    return extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "url", text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars")
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise(table(spark, sf_dir, "documents", "doc_id", "text")).drop("sanitised", "text")
 
@@ -85,6 +93,7 @@ def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_style_tree": op3_style_tree,
     "op4_pii": op4_pii,
     "op5_prefix_hashes": op5_prefix_hashes,
     "op9_maxscore": op9_maxscore,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,3 +32,17 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
 def whole(column: str):
     """Text with NULL read as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def shared_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again.
+
+    Unlike a checkpoint its size is known to the planner, which then chooses
+    joins by it.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        shared_checkpoint(df.limit(0))
+    path = f"{context.getCheckpointDir()}/{uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
