@@ -11,6 +11,7 @@ from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.html import extract
 from amity.llm.maxscore import integer_components, top_k
 from amity.llm.pii import KINDS, sanitise
+from amity.llm.simhash import near_duplicates
 from amity.llm.tables import table
 from amity.llm.toxicity import fit, score_documents
 
@@ -45,6 +46,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.array_join("main_blocks", "\n")
     return extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
@@ -93,6 +103,7 @@ def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_simhash": op2_simhash,
     "op3_style_tree": op3_style_tree,
     "op4_pii": op4_pii,
     "op5_prefix_hashes": op5_prefix_hashes,
