@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from amity.llm.bpe import decode_documents, encode_documents
 from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.html import extract
+from amity.llm.lines import dedupe_lines
 from amity.llm.maxscore import integer_components, top_k
 from amity.llm.pii import KINDS, sanitise
 from amity.llm.simhash import near_duplicates
@@ -93,6 +94,10 @@ def op5_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     vectors = rows.select("vec_id", integer_components(F.col("embedding")).alias("vector"))
@@ -107,6 +112,7 @@ QUERIES = {
     "op3_style_tree": op3_style_tree,
     "op4_pii": op4_pii,
     "op5_prefix_hashes": op5_prefix_hashes,
+    "op7_fuzzy_lines": op7_fuzzy_lines,
     "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,
 }

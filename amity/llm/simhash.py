@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amity.llm.components import components
-from amity.llm.tables import shared_checkpoint
+from amity.llm.tables import shared_checkpoint, shared_table
 
 SEED = 42
 SHINGLE = 4
@@ -40,6 +40,7 @@ DISTANCE = 4
 LARGE = 4096
 LEAF = 16
 FANOUT = 8
+DRAW = 16
 
 
 def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -203,78 +204,105 @@ def spanning_links(left: np.ndarray, right: np.ndarray | None, distance: int) ->
     return [(int(both[x]), int(both[y])) for x, y in forest.links if both[x] != both[y]]
 
 
-def _link_buckets(distance: int, crossing: bool):
-    """A function over sorted batches (bucket columns, side, fingerprint) that yields links."""
+def _link_buckets(masks: np.ndarray | None, distance: int):
+    """A function over sorted batches that yields the links of each bucket.
+
+    The batches hold the bucket's columns, the side (0 or 1) and the fingerprint.
+    With ``masks`` the bucket is the projection and the fingerprint's masked bits.
+    """
+
+    def links(values: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+        if side.min() != side.max():
+            return spanning_links(values[side == 0], values[side == 1], distance)
+        if len(values) <= 24:
+            return [(x, y) for x, y in combinations(values.tolist(), 2) if (x ^ y).bit_count() <= distance]
+        return spanning_links(values, None, distance)
+
+    def of_runs(keys: np.ndarray, side: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        change = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1), True])
+        length = np.diff(change)
+        twos = change[:-1][length == 2]  # most buckets of more than one
+        twos = twos[np.bitwise_count(values[twos] ^ values[twos + 1]) <= distance]
+        found = [np.stack([values[twos], values[twos + 1]], axis=1)]
+        for at in np.flatnonzero(length > 2):
+            s, e = change[at], change[at + 1]
+            if pairs := links(values[s:e], side[s:e]):
+                found.append(np.array(pairs, np.uint64))
+        both = np.concatenate(found).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(values: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-            if crossing and side.min() != side.max():
-                return spanning_links(values[side == 0], values[side == 1], distance)
-            if len(values) <= 24:
-                return [(x, y) for x, y in combinations(values.tolist(), 2) if (x ^ y).bit_count() <= distance]
-            return spanning_links(values, None, distance)
-
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        last = None
+        held = None  # the last bucket so far, which may go on
         for batch in batches:
-            keys = np.stack([c.to_numpy() for c in batch.columns[:-2]], axis=1).astype(np.int64)
-            side = batch.column(batch.num_columns - 2).to_numpy()
-            values = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
-            if not len(values):
+            if not batch.num_rows:
                 continue
-            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-            found = []
-            for s, e in zip(starts, [*starts[1:], len(values)], strict=True):
-                if last is not None and (keys[s] != last).any():
-                    if held:
-                        found += links(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                    held = []
-                last = keys[s]
-                held.append((values[s:e], side[s:e]))
-            yield out(found)
-        if held:
-            yield out(links(*(np.concatenate(x) for x in zip(*held, strict=True))))
+            columns = [c.to_numpy().astype(np.int64) for c in batch.columns]
+            values = columns[-1].view(np.uint64)
+            if masks is not None:
+                columns[1:1] = [(values & masks[columns[0]]).view(np.int64)]
+            now = (np.stack(columns[:-2], axis=1), columns[-2], values)
+            if held is not None:
+                now = tuple(np.concatenate(x) for x in zip(held, now, strict=True))
+            keys = now[0]
+            other = np.flatnonzero((keys != keys[-1]).any(axis=1))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield of_runs(*(x[:cut] for x in now))
+            held = tuple(x[cut:] for x in now)
+        if held is not None:
+            yield of_runs(*held)
 
     return run
 
 
 def near_links(prints: DataFrame, distance: int = DISTANCE, large: int = LARGE) -> DataFrame:
-    """``a, b``: links that connect all fingerprints (distinct, column ``fp``) within ``distance``."""
+    """``a, b``: links that connect all fingerprints (distinct, column ``fp``) within ``distance``.
+
+    Each fingerprint is shuffled once for each projection. Large buckets are known
+    from a draw of one fingerprint in ``DRAW``; a bucket that the draw misjudges is
+    searched the other way, with the same links.
+    """
     masks = block_masks(distance)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    projected = prints.select(
-        F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("projection", "bucket"), "fp"
-    )
-    sizes = projected.groupBy("projection", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    sized = projected.join(shared_checkpoint(sizes), ["projection", "bucket"])
-
-    def search(rows: DataFrame, keys: list[str], crossing: bool) -> DataFrame:
-        order = rows.select(*keys, "side", "fp").repartition(*keys).sortWithinPartitions(*keys)
-        return order.mapInArrow(_link_buckets(distance, crossing), "a long, b long")
+    keys = ["projection", "bucket"]
 
-    small = search(sized.where(F.col("n") <= large).withColumn("side", F.lit(0)), ["projection", "bucket"], False)
+    def project(df: DataFrame) -> DataFrame:
+        buckets = F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))
+        return df.select(F.posexplode(buckets).alias(*keys), "fp")
+
+    drawn = prints.where(F.pmod(F.xxhash64("fp"), F.lit(DRAW)) == 0) if large >= 16 * DRAW else prints
+    share = DRAW if large >= 16 * DRAW else 1
+    hot = project(drawn).groupBy(*keys).agg((F.count("*") * share).alias("n")).where(F.col("n") > large)
+    hot = shared_table(hot)
+    some_hot = not hot.isEmpty()
+    small = prints.select(F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("projection"), "fp")
+    # The bucket follows from the two columns, so it is not sent.
+    bucket = F.col("fp").bitwiseAND(F.element_at(F.array(*map(F.lit, signed)), F.col("projection") + 1))
+    if some_hot:
+        small = small.withColumn("bucket", bucket).join(hot, keys, "left_anti").drop("bucket")
+    small = (
+        small.repartition("projection", bucket)
+        .sortWithinPartitions("projection", bucket)
+        .select("projection", F.lit(0).alias("side"), "fp")
+        .mapInArrow(_link_buckets(np.array(masks, np.uint64), distance), "a long, b long")
+    )
+    if not some_hot:
+        return small.distinct()
 
     # Large buckets: runs along the Gray order, and the pairs of runs that may hold a link.
-    ranked = shared_checkpoint(sized.where(F.col("n") > large).withColumn("rank", gray_rank_column(F.col("fp"))))
-    if ranked.isEmpty():
-        return small.distinct()
+    ranked = project(prints).join(hot, keys).withColumn("rank", gray_rank_column(F.col("fp")))
+    ranked = shared_checkpoint(ranked)
     n_max = ranked.agg(F.max("n")).first()[0]
     steps = [i / 32 for i in range(1, 32)]
     # Buckets are cut again and again by 32 until their runs are small enough.
     runs, cut = ranked.withColumn("run", F.lit(0).cast("bigint")), n_max
     while cut > large:
-        keys = ["projection", "bucket", "run"]
-        bounds = runs.groupBy(*keys).agg(F.percentile_approx("rank", steps).alias("bounds"))
+        bounds = runs.groupBy(*keys, "run").agg(F.percentile_approx("rank", steps).alias("bounds"))
         place = F.size(F.filter("bounds", lambda b: b < F.col("rank")))
         runs = shared_checkpoint(
-            runs.join(bounds, keys).withColumn("run", F.col("run") * 32 + place).drop("bounds")
+            runs.join(bounds, [*keys, "run"]).withColumn("run", F.col("run") * 32 + place).drop("bounds")
         )
-        cut = max(cut // 16, 1) if cut > large else cut
-    keys = ["projection", "bucket"]
+        cut //= 16
     nodes = runs.groupBy(*keys, "run").agg(
         F.expr("bit_and(fp)").alias("every"), F.expr("bit_or(fp)").alias("some"), F.count("*").alias("members")
     )
@@ -294,7 +322,14 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, large: int = LARGE)
         ).alias("x"),
     ).select(*keys, "left", "right", "x.run", "x.side")
     members = runs.select(*keys, "run", "fp").join(sides, [*keys, "run"])
-    return small.union(search(members, [*keys, "left", "right"], True)).distinct()
+    pairs_of_runs = [*keys, "left", "right"]
+    crossing = (
+        members.select(*pairs_of_runs, "side", "fp")
+        .repartition(*pairs_of_runs)
+        .sortWithinPartitions(*pairs_of_runs)
+        .mapInArrow(_link_buckets(None, distance), "a long, b long")
+    )
+    return small.union(crossing).distinct()
 
 
 def near_duplicates(
