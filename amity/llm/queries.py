@@ -11,6 +11,7 @@ from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.html import extract
 from amity.llm.lines import dedupe_lines
 from amity.llm.maxscore import integer_components, top_k
+from amity.llm.mixing import mix
 from amity.llm.pii import KINDS, sanitise
 from amity.llm.simhash import near_duplicates
 from amity.llm.tables import table
@@ -98,6 +99,20 @@ def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+#: Shares of all tokens by the quality of the labels table.
+MIXTURE = {"1": 0.92, "0": 0.08}
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    return labels.select("doc_id", F.col("quality").cast("string").alias("domain"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return mix(docs, quality_labels(spark, sf_dir), MIXTURE)
+
+
 def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     vectors = rows.select("vec_id", integer_components(F.col("embedding")).alias("vector"))
@@ -113,6 +128,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_prefix_hashes": op5_prefix_hashes,
     "op7_fuzzy_lines": op7_fuzzy_lines,
+    "op8_mixing": op8_mixing,
     "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,
 }
