@@ -14,6 +14,7 @@ from amity.llm.maxscore import integer_components, top_k
 from amity.llm.mixing import mix
 from amity.llm.pii import KINDS, sanitise
 from amity.llm.simhash import near_duplicates
+from amity.llm.suffixes import remove_repeats
 from amity.llm.tables import table
 from amity.llm.toxicity import fit, score_documents
 
@@ -95,6 +96,12 @@ def op5_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -127,6 +134,7 @@ QUERIES = {
     "op3_style_tree": op3_style_tree,
     "op4_pii": op4_pii,
     "op5_prefix_hashes": op5_prefix_hashes,
+    "op6_induced_suffixes": op6_induced_suffixes,
     "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_mixing": op8_mixing,
     "op9_maxscore": op9_maxscore,
