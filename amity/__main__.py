@@ -7,9 +7,10 @@ import argparse
 from pyspark.sql import SparkSession
 
 from amity import generate
+from amity.functions.time import INACTIVITY_DAYS, INACTIVITY_MILLIS
 from amity.operators import contract_violations, record_quality, row_counts
 from amity.plans import tasks
-from amity.schemas import ACCESS_LOGS
+from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
 from amity.sinks import write_table, write_text
 from amity.sources import read_access_logs, read_associates, read_raw, read_users
 
@@ -23,6 +24,8 @@ def _parser() -> argparse.ArgumentParser:
         for table in inputs:
             sub.add_argument(f"--{table}", required=True)
         sub.add_argument("--out", required=True)
+        if name.startswith("task-"):
+            sub.add_argument("--order", choices=["numeric", "text"])
         if alternative:
             sub.add_argument("--alternative", action="store_true")
         return sub
@@ -34,7 +37,12 @@ def _parser() -> argparse.ArgumentParser:
     command("task-e", "logs", alternative=True)
     command("task-f", "associates", "logs")
     command("task-f-alternative", "merged")
-    command("task-g", "logs").add_argument("--as-of", type=int, required=True)
+    task_g = command("task-g", "logs")
+    task_g.add_argument("--as-of", type=int, required=True)
+    task_g.add_argument("--window", type=int, default=INACTIVITY_MILLIS)
+    minutes = command("task-g-minutes", "logs")
+    minutes.add_argument("--now", type=float, required=True, help="epoch seconds")
+    minutes.add_argument("--days", type=float, default=INACTIVITY_DAYS)
     task_h = command("task-h", "associates")
     task_h.add_argument("--threshold", type=int, default=1)
     task_h.add_argument("--users")
@@ -48,14 +56,19 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def quality(spark: SparkSession, users: str, associates: str, logs: str, out: str) -> None:
-    """Three reports below ``out``: record shapes, row counts, broken rules."""
+    """Three reports below ``out``: record shapes, data rows of whatever shape, broken rules."""
+    raw = {
+        "users": read_raw(spark, users, USERS),
+        "associates": read_raw(spark, associates, ASSOCIATES),
+        "access_logs": read_raw(spark, logs, ACCESS_LOGS),
+    }
     tables = {
         "users": read_users(spark, users),
         "associates": read_associates(spark, associates),
         "access_logs": read_access_logs(spark, logs),
     }
-    write_text(record_quality(read_raw(spark, logs, ACCESS_LOGS)), out, name="records")
-    write_text(row_counts(tables), out, name="rows")
+    write_text(record_quality(raw["access_logs"]), out, name="records")
+    write_text(row_counts(raw), out, name="rows")
     write_text(contract_violations(*tables.values()), out, name="violations")
 
 
@@ -78,6 +91,7 @@ COMMANDS = {
     "task-f": tasks.task_f,
     "task-f-alternative": tasks.task_f_alternative,
     "task-g": tasks.task_g,
+    "task-g-minutes": tasks.task_g_minutes,
     "task-h": tasks.task_h,
     "quality": quality,
     "generate": generate_tables,

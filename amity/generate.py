@@ -27,9 +27,6 @@ N_ACCESS_LOGS = 10_000_000
 MAX_TIME = 1_000_000
 MAX_COUNTRY_CODE = 50
 
-# (2n - 1) squared has to fit 64 bits.
-MAX_USERS = 1_500_000_000
-
 NATIONALITIES = [
     "Argentina", "Australia", "Austria", "Bangladesh", "Belgium", "Bolivia", "Brazil",
     "Canada", "Chile", "China", "Colombia", "Cuba", "Denmark", "Egypt", "Estonia", "Fiji",
@@ -76,8 +73,9 @@ def generate_users(
 
 
 def _rows_before(owner: str, n: int) -> str:
-    """Pairs of all owners before ``owner``, as SQL in 64-bit arithmetic."""
-    return f"(({owner} - 1) * (2 * {n}L - ({owner}))) div 2"
+    """Pairs of all owners before ``owner``, as SQL. The product may go beyond 64 bits, the pairs
+    themselves are row numbers and do not."""
+    return f"((cast({owner} - 1 AS decimal(19, 0)) * cast(2 * {n}L - ({owner}) AS decimal(19, 0))) div 2)"
 
 
 def associates_rows(numbers: DataFrame, n_users: int, seed: int = 0) -> DataFrame:
@@ -87,7 +85,8 @@ def associates_rows(numbers: DataFrame, n_users: int, seed: int = 0) -> DataFram
     ``i`` gives the owner to within one, and whole-number comparisons settle it.
     """
     n = n_users
-    root = f"sqrt((2 * {n}L - 1) * (2 * {n}L - 1) - 8 * (FriendRel - 1))"
+    edge = f"cast(2 * {n}L - 1 AS decimal(19, 0))"
+    root = f"sqrt(cast({edge} * {edge} - 8 * cast(FriendRel - 1 AS decimal(20, 0)) AS double))"
     guess = numbers.withColumn("owner", F.expr(f"cast(floor((2 * {n}L + 1 - {root}) / 2) as bigint)"))
     settled = guess.select(
         "FriendRel",
@@ -114,8 +113,6 @@ def generate_associates(
     Each row is worked out from its number alone: no self join, and equal tasks
     although the first owners have nearly all friendships.
     """
-    if n_users > MAX_USERS:
-        raise ValueError(f"more than {MAX_USERS} users would overflow 64-bit arithmetic")
     rows = min(max_rel, n_users * (n_users - 1) // 2)
     return associates_rows(spark.range(1, rows + 1).toDF("FriendRel"), n_users, seed)
 

@@ -9,18 +9,13 @@ from amity.functions import access_summary
 from amity.operators.ordering import ordered
 from amity.operators.users import one_profile_per_id
 
-# A report of up to this many pages is broadcast; 16 bytes a row.
-BROADCAST_PAGES = 1_000_000
-
 UNKNOWN = "Unknown"
 
 
 def visits_per_page(logs: DataFrame) -> DataFrame:
-    return (
-        logs.where(F.col("WhatPage").isNotNull())
-        .groupBy("WhatPage")
-        .agg(F.count("*").alias("n"))
-    )
+    """Rows without readable page are left out after the grouping, where they are one row a
+    task: a test before it would read the page's text a second time."""
+    return logs.groupBy("WhatPage").agg(F.count("WhatPage").alias("n")).where(F.col("n") > 0)
 
 
 def top_pages(
@@ -28,18 +23,16 @@ def top_pages(
 ) -> DataFrame:
     """The ``k`` most visited pages with their owners' profiles, lower page id first on ties.
 
-    The limit comes before the lookup. What is broadcast is the report, which
-    has at most ``k`` rows: first against the user table, which is thereby cut
-    to ``k`` rows inside its scan and never shuffled, then the cut profiles back
-    against the report. Both uses of the report share one shuffle of the counts.
+    The limit comes before the lookup, so both joins are with at most ``k``
+    rows: first the user table is cut to the report's owners, then their profiles
+    go back to the report. Spark knows the size of a limit and chooses the joins
+    by it; both uses of the report share one shuffle of the counts. The ``k`` rows
+    have to fit one task.
     """
-    bounded = F.broadcast if k <= BROADCAST_PAGES else (lambda df: df)
     top = visits_per_page(logs).orderBy(F.desc("n"), "WhatPage").limit(k)
-    wanted = users.join(
-        bounded(top.select(F.col("WhatPage").alias("ID"))), "ID", "left_semi"
-    )
+    wanted = users.join(top.select(F.col("WhatPage").alias("ID")), "ID", "left_semi")
     profiles = one_profile_per_id(wanted, "Name", "Nationality")
-    report = top.join(bounded(profiles), top.WhatPage == profiles.ID, "left").select(
+    report = top.join(profiles, top.WhatPage == profiles.ID, "left").select(
         "WhatPage",
         F.coalesce("Name", F.lit(UNKNOWN)).alias("Name"),
         F.coalesce("Nationality", F.lit(UNKNOWN)).alias("Nationality"),
@@ -53,16 +46,18 @@ def access_stats(
 ) -> DataFrame:
     """Total accesses and distinct pages per visitor.
 
+    An access of an unreadable page counts in the total, but is no distinct page.
+
     Rows are counted per (visitor, page) first, so a visitor with a third of all
     accesses is spread over the tasks by page, and what reaches the second
     grouping is one row per visitor and task.
     """
     stats = (
-        logs.where(F.col("ByWho").isNotNull() & F.col("WhatPage").isNotNull())
+        logs.where(F.col("ByWho").isNotNull())
         .groupBy("ByWho", "WhatPage")
         .agg(F.count("*").alias("visits"))
         .groupBy("ByWho")
-        .agg(F.sum("visits").alias("total"), F.count("*").alias("distinct_pages"))
+        .agg(F.sum("visits").alias("total"), F.count("WhatPage").alias("distinct_pages"))
     )
     if formatted:
         stats = stats.select(

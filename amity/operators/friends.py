@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amity.functions import parse_long
-from amity.operators.users import one_profile_per_id
-from amity.schemas import ACCESS_LOGS
-from amity.sources import raw_from_lines
+from amity.operators.users import profiles_by_id
+from amity.sources import FRIENDSHIP, tagged_merged
 
 # What is known of a pair (A, B); a pair that is both carries both bits.
 FRIEND, VISITED = 1, 2
@@ -31,20 +30,22 @@ def relationship_counts(users: DataFrame, associates: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     return (
-        one_profile_per_id(users, "Name")
+        profiles_by_id(users, "Name")
         .join(ends, "ID", "left")
         .select("ID", "Name", F.coalesce("n", F.lit(0)).alias("n"))
     )
 
 
-def _marked(df: DataFrame, a: Column, b: Column, mark: Column) -> DataFrame:
-    return df.where(a.isNotNull() & b.isNotNull()).select(
-        a.alias("PersonA_ID"), b.alias("PersonB_ID"), mark.alias("mark")
-    )
+def _marked(df: DataFrame, a: str, b: str, mark: Column) -> DataFrame:
+    return df.select(F.col(a).alias("PersonA_ID"), F.col(b).alias("PersonB_ID"), mark.alias("mark"))
 
 
 def _once(marked: DataFrame) -> DataFrame:
-    return marked.groupBy("PersonA_ID", "PersonB_ID").agg(F.bit_or("mark").alias("mark"))
+    """Pairs with an unreadable end are left out last, as the grouping leaves few of them."""
+    pair = ["PersonA_ID", "PersonB_ID"]
+    both = F.count_if(F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull())
+    grouped = marked.groupBy(*pair).agg(F.bit_or("mark").alias("mark"), both.alias("known"))
+    return grouped.where(F.col("known") > 0).drop("known")
 
 
 def marked_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:
@@ -55,8 +56,8 @@ def marked_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:
     merged map-side, so neither an owner with very many friends nor a visit
     repeated very often ends up in one task.
     """
-    friends = _marked(associates, F.col("PersonA_ID"), F.col("PersonB_ID"), F.lit(FRIEND))
-    visits = _marked(logs, F.col("ByWho"), F.col("WhatPage"), F.lit(VISITED))
+    friends = _marked(associates, "PersonA_ID", "PersonB_ID", F.lit(FRIEND))
+    visits = _marked(logs, "ByWho", "WhatPage", F.lit(VISITED))
     return _once(friends.unionByName(visits))
 
 
@@ -65,16 +66,10 @@ def marked_pairs_merged(lines: DataFrame) -> DataFrame:
 
     Both kinds of line hold the pair in their second and third field.
     """
-    raw = raw_from_lines(lines, ACCESS_LOGS)
-    mark = F.when(F.col("n_fields") == 3, FRIEND).when(F.col("n_fields") == 5, VISITED)
-    return _once(
-        _marked(
-            raw.where(F.col("n_fields").isin(3, 5)),
-            parse_long(F.col("ByWho")),
-            parse_long(F.col("WhatPage")),
-            mark,
-        )
-    )
+    records = tagged_merged(lines)
+    mark = F.when(F.col("kind") == FRIENDSHIP, FRIEND).otherwise(VISITED)
+    ends = records.select(parse_long(F.col("ByWho")).alias("a"), parse_long(F.col("WhatPage")).alias("b"), mark.alias("mark"))
+    return _once(_marked(ends, "a", "b", F.col("mark")))
 
 
 def unvisited_friend_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:

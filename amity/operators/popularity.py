@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amity.operators.users import one_profile_per_id
+from amity.operators.users import profiles_by_id
 
 # The two labels.
 MORE_POPULAR = "More Popular"
@@ -42,7 +42,7 @@ def popularity_labels(
 
 def owner_degree_profiles(associates: DataFrame, users: DataFrame) -> DataFrame:
     """Outgoing friendships of each owner beside the owner's whole profile."""
-    profiles = one_profile_per_id(users, "Name", "Nationality", "CountryCod", "Hobby")
+    profiles = profiles_by_id(users, "Name", "Nationality", "CountryCod", "Hobby")
     return (
         owner_degrees(associates)
         .join(profiles, F.col("PersonA_ID") == F.col("ID"))

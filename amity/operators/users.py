@@ -24,22 +24,23 @@ def users_per_nationality(users: DataFrame) -> DataFrame:
 
 
 def users_per_country_code(users: DataFrame) -> DataFrame:
-    return (
-        users.where(F.col("CountryCod").isNotNull())
-        .groupBy("CountryCod")
-        .agg(F.count("*").alias("n"))
-    )
+    """Users with an unreadable code are counted under NULL."""
+    return users.groupBy("CountryCod").agg(F.count("*").alias("n"))
 
 
-def one_profile_per_id(users: DataFrame, *columns: str) -> DataFrame:
-    """``ID`` and ``columns``, one row per id.
+def profiles_by_id(users: DataFrame, *columns: str) -> DataFrame:
+    """``ID`` and ``columns`` of users with a readable id.
 
-    Ids are unique by contract; should one repeat, the greatest profile stands
-    for it, so that neither a result row nor a join task multiplies. The
-    grouping shuffles by ID, as the join that follows needs anyway.
+    Ids are unique by contract; ``contract_violations`` reports those that are
+    not. A repeated id stays repeated: a join with it gives a row for each.
     """
+    return users.where(F.col("ID").isNotNull()).select("ID", *columns)
+
+
+def one_profile_per_id(users: DataFrame, *columns: str) -> DataFrame:
+    """The same with one row per id, the greatest of its profiles; for few users, as it sorts."""
     return (
-        users.where(F.col("ID").isNotNull())
+        profiles_by_id(users, *columns)
         .groupBy("ID")
         .agg(F.max(F.struct(*columns)).alias("profile"))
         .select("ID", "profile.*")

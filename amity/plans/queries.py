@@ -11,13 +11,13 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from amity import operators as ops
 from amity import sinks, sources
-from amity.functions import field_count, split_fields
+from amity.functions import field_count, minutes_cutoff, split_fields
 from amity.operators.friends import NEVER_ACCESSED_PAGE
-from amity.plans.scratch import scratch_dir
-from amity.schemas import ACCESS_LOGS
+from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
 from amity.sources import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ _VIEWS = {
     "part_visits": v.PART_VISITS_SQL,
     "order_accesses": v.ORDER_ACCESSES_SQL,
     "raw_lines": v.RAW_LINES_SQL,
+    "opened_lines": v.OPENED_LINES_SQL,
 }
 
 
@@ -231,12 +232,12 @@ _register(
     lambda s, d: ops.inactive_users(v.access_logs_millis(s, d), _AS_OF, _HALF_DAY),
     _INACTIVE_MILLIS,
 )
-_CUTOFF = (_AS_OF - _HALF_DAY) / 60_000
+_CUTOFF = minutes_cutoff(_AS_OF / 1000, days=0.5)
 _register(
     "inactive_users_minutes",
     lambda s, d: ops.inactive_users_minutes(v.access_logs_minutes(s, d), _CUTOFF),
     f"""SELECT "ByWho" FROM {{access_logs_minutes}} GROUP BY "ByWho"
-        HAVING greatest(max("AccessTime"), 0) < {_CUTOFF}""",
+        HAVING greatest(max("AccessTime"), 0) < ({_AS_OF} - {_HALF_DAY}) / 60000""",
 )
 
 # Data quality
@@ -341,17 +342,10 @@ _register(
 
 
 def _split_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    friends, accesses = sources.split_merged(v.merged_lines(spark, sf_dir))
-    return friends.select(
-        F.lit("friendship").alias("kind"),
-        F.col("PersonA_ID").alias("person"),
-        F.col("PersonB_ID").alias("page"),
-    ).unionByName(
-        accesses.select(
-            F.lit("access").alias("kind"),
-            F.col("ByWho").alias("person"),
-            F.col("WhatPage").alias("page"),
-        )
+    return sources.split_merged(v.merged_lines(spark, sf_dir)).select(
+        "kind",
+        F.coalesce("friendship.PersonA_ID", "access.ByWho").alias("person"),
+        F.coalesce("friendship.PersonB_ID", "access.WhatPage").alias("page"),
     )
 
 
@@ -367,14 +361,13 @@ _register(
     _VISITING_NONE.replace("{graph}", "{associates}"),
 )
 
-# Files: each table and two results are written to shared storage and read back.
+# Tables as lines, through the readers' parser and types.
 
 
-def _reread(table: Query, read: Callable[[SparkSession, str], DataFrame]) -> Query:
+def _reread(table: Query, schema: StructType, fields: sources.Fields) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = scratch_dir(spark)
-        sinks.write_table(table(spark, sf_dir), path)
-        return read(spark, path)
+        lines = sinks.lines(table(spark, sf_dir), sep=",")
+        return sources.typed(sources.raw_from_lines(lines, schema), schema, fields)
 
     return query
 
@@ -384,47 +377,54 @@ def _dated_associates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.associates(spark, sf_dir).withColumn("DateofFriendship", day)
 
 
-_register("read_users", _reread(v.users, sources.read_users), "SELECT * FROM {users}")
+_register("read_users", _reread(v.users, USERS, sources.AT_LEAST_5), "SELECT * FROM {users}")
 _register(
     "read_associates",
-    _reread(_dated_associates, sources.read_associates),
+    _reread(_dated_associates, ASSOCIATES, sources.AT_LEAST_3),
     """SELECT * REPLACE (CAST(CAST("DateofFriendship" AS DATE) - DATE '1970-01-01' AS INTEGER)
                          AS "DateofFriendship") FROM {associates}""",
 )
 _register(
     "read_access_logs",
-    _reread(v.access_logs_millis, sources.read_access_logs),
+    _reread(v.access_logs_millis, ACCESS_LOGS, sources.AT_LEAST_3),
     "SELECT * FROM {access_logs_millis}",
 )
-
-
-def _relationship_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark)
-    counts = ops.relationship_counts(v.users(spark, sf_dir), v.associates(spark, sf_dir))
-    sinks.write_text(counts.select("Name", "n"), path, sep=",", compression="gzip")
-    return spark.read.text(path)
-
-
+_register(
+    "read_quoted_users",
+    lambda s, d: sources.typed(
+        sources.raw_from_lines(v.quoted_user_lines(s, d), USERS), USERS, sources.EXACTLY_5
+    ),
+    """SELECT * REPLACE ("Name" || ', "' || "Hobby" || '"' AS "Name") FROM {users}""",
+)
+_register(
+    "unclosed_quotes",
+    lambda s, d: sources.raw_from_lines(v.opened_lines(s, d), ACCESS_LOGS).select("AccessId", "n_fields"),
+    f"""SELECT string_split(rtrim(value, ','), ',')[1] AS "AccessId", CAST({_N_FIELDS} AS INTEGER) AS n_fields
+        FROM {{opened_lines}}""",
+)
+_register(
+    "access_stats_unreadable_pages",
+    lambda s, d: ops.access_stats(
+        sources.typed(sources.raw_from_lines(v.raw_lines(s, d), ACCESS_LOGS), ACCESS_LOGS, sources.Fields(2))
+        .withColumn("ByWho", F.coalesce("ByWho", F.lit(-1)))
+    ),
+    f"""SELECT coalesce({_long_sql(2)}, -1) AS "ByWho", count(*) AS total,
+               count(DISTINCT {_long_sql(3)}) AS distinct_pages
+        FROM {{raw_lines}} WHERE {_N_FIELDS} >= 2 GROUP BY 1""",
+)
 _register(
     "relationship_lines",
-    _relationship_lines,
+    lambda s, d: sinks.lines(
+        ops.relationship_counts(v.users(s, d), v.associates(s, d)).select("Name", "n"), sep=","
+    ),
     _RELATIONSHIP_COUNTS.replace("{graph}", "{associates}").replace(
         """SELECT "ID", any_value("Name") AS "Name", count(person) AS n""",
         """SELECT any_value("Name") || ',' || count(person) AS value""",
     ),
 )
-
-
-def _inactive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark)
-    inactive = ops.inactive_users(v.access_logs_millis(spark, sf_dir), _AS_OF, _HALF_DAY)
-    sinks.write_text(inactive, path, name="inactivePersons")
-    return spark.read.text(f"{path}/inactivePersons")
-
-
 _register(
     "inactive_user_lines",
-    _inactive_lines,
+    lambda s, d: sinks.lines(ops.inactive_users(v.access_logs_millis(s, d), _AS_OF, _HALF_DAY)),
     f"SELECT CAST(\"ByWho\" AS VARCHAR) AS value FROM ({_INACTIVE_MILLIS})",
 )
 _register(

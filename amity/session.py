@@ -1,23 +1,9 @@
-"""Sessions for one machine, and the settings a cluster should start with."""
+"""Sessions for one machine."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# For spark-submit --conf on a large cluster. Nothing in the library sets them.
-CLUSTER_SETTINGS = {
-    # AQE merges small shuffle partitions, so start with many.
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "512m",
-    # Joins are broadcast by Spark only below this measured size.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.session.timeZone": "UTC",
-}
-
-
 def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")

@@ -39,4 +39,4 @@ def write_text(
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a table in the format the readers expect: a header in every file."""
-    df.write.mode(mode).csv(path, header=True, emptyValue="")
+    df.write.mode(mode).csv(path, header=True, emptyValue="", escape='"')

@@ -1,7 +1,9 @@
 from amity.sources.delimited import (
+    ACCESS,
     AT_LEAST_3,
     AT_LEAST_5,
     EXACTLY_5,
+    FRIENDSHIP,
     Fields,
     raw_from_lines,
     read_access_logs,
@@ -9,13 +11,16 @@ from amity.sources.delimited import (
     read_raw,
     read_users,
     split_merged,
+    tagged_merged,
     typed,
 )
 
 __all__ = [
+    "ACCESS",
     "AT_LEAST_3",
     "AT_LEAST_5",
     "EXACTLY_5",
+    "FRIENDSHIP",
     "Fields",
     "raw_from_lines",
     "read_access_logs",
@@ -23,5 +28,6 @@ __all__ = [
     "read_raw",
     "read_users",
     "split_merged",
+    "tagged_merged",
     "typed",
 ]

@@ -1,10 +1,13 @@
 """Comma-separated inputs.
 
-Files are read as lines and split once. That is faster than the CSV reader,
-which would have to keep every column to report records of the wrong shape, and
-it gives the exact number of fields. Lines with a quote go through the CSV
-parser. Fields are text until the record-shape test is done, so that a bad value
-in a column nobody asked for cannot remove a row.
+Files are read as lines, and each line is split once, which gives its fields and
+their number together. Fields are text until the record-shape test is done, so
+that a bad value in a column nobody asked for cannot remove a row.
+
+A quote opens a field only at the field's start. Regular lines with quotes go
+through the CSV parser; a line that is not regular (a quote never closed, or
+inside a field, or another number of fields than columns) is split by one pattern
+that takes an unclosed quote as text.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amity.functions import (
-    field_count,
     parse_long,
     split_fields,
     starts_like_number,
@@ -37,6 +39,14 @@ AT_LEAST_5 = Fields(5)
 EXACTLY_5 = Fields(5, 5)
 
 
+# A field in quotes, and the whole of a line of such and plain fields.
+_QUOTED = r'"(?:[^"]++|"")*+"'
+REGULAR = rf'^(?:{_QUOTED}|[^",]*+)(?:,(?:{_QUOTED}|[^",]*+))*+$'
+# One field of any line, behind a comma.
+FIELD = rf',(?:{_QUOTED}[^,]*+|[^,]*+)'
+OPENED = r'^,"((?:[^"]++|"")*+)"([^,]*+)$'
+
+
 def raw_from_lines(lines: DataFrame, table: T.StructType) -> DataFrame:
     """Text columns of ``table`` and ``n_fields`` from a column ``value`` of lines.
 
@@ -44,37 +54,45 @@ def raw_from_lines(lines: DataFrame, table: T.StructType) -> DataFrame:
     keeps later filters on the fields from being pushed below the split, where
     each of them would split the line again.
     """
-    line, names = F.col("value"), table.fieldNames()
-    quoted = F.contains(line, F.lit('"'))
-    text = ", ".join(f"`{n}` string" for n in names)
-    record = F.when(quoted, F.from_csv(line, text, {"escape": '"'}))
-    parsed = lines.select("value", F.explode(F.array(record)).alias("csv"))
-    fields = parsed.select(F.explode(F.array(_fields(line, names))).alias("f"))
+    names = table.fieldNames()
+    fields = lines.select(F.explode(F.array(fields_of(F.col("value"), len(names)))).alias("f"))
     return fields.select(
         *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)], F.size("f").alias("n_fields")
     )
 
 
-def _fields(line: Column, names: list[str]) -> Column:
-    """The fields of a line, from its parsed record if it has quotes.
+def fields_of(line: Column, width: int) -> Column:
+    """The fields of a line, which mostly has ``width`` of them."""
+    text = ", ".join(f"_{i} string" for i in range(width))
+    record = F.when(
+        F.rlike(line, F.lit(REGULAR)),
+        F.from_csv(line, f"{text}, bad string", {"escape": '"', "columnNameOfCorruptRecord": "bad"}),
+    )
+    columns = F.array(*[F.coalesce(record[f"_{i}"], F.lit("")) for i in range(width)])
+    of_record = F.when(record.isNotNull() & record["bad"].isNull() & (record[f"_{width - 1}"] != ""), columns)
+    quoted = F.coalesce(of_record, _irregular(line))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(split_fields(line))
 
-    A record has the columns of the table, whatever the line has. With its
-    quoted parts taken out, the line tells how many fields there are: columns
-    beyond are cut off, and fields beyond the columns are only counted.
-    """
-    n = field_count(F.regexp_replace(line, '"[^"]*"', '"'))
-    columns = F.array(*[F.coalesce(F.col(f"csv.`{c}`"), F.lit("")) for c in names])
-    beyond = F.array_repeat(F.lit(""), F.greatest(n - len(names), F.lit(0)))
-    of_record = F.slice(F.concat(columns, beyond), 1, n)
-    return F.when(F.col("csv").isNotNull(), of_record).otherwise(split_fields(line))
+
+def _irregular(line: Column) -> Column:
+    """Any line, split by pattern. What follows a closing quote belongs to its field."""
+
+    def content(field: Column) -> Column:
+        inner = F.replace(F.regexp_extract(field, OPENED, 1), F.lit('""'), F.lit('"'))
+        closed = F.concat(inner, F.regexp_extract(field, OPENED, 2))
+        plain = F.substring(field, F.lit(2), F.char_length(field))
+        return F.when(F.rlike(field, F.lit(OPENED)), closed).otherwise(plain)
+
+    fields = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD), F.lit(0)), content)
+    filled = F.array_position(F.transform(F.reverse(fields), lambda f: f != ""), True)
+    n = F.when(filled > 0, F.size(fields) - filled + 1).otherwise(1)
+    return F.slice(fields, F.lit(1), n.cast("int"))
 
 
 def read_raw(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
     """The same from files; header lines, known by the name of the first column, are left out."""
     name = table.fieldNames()[0]
-    first = F.col(name)
-    is_data = starts_like_number(first) | (F.lower(trim_controls(first)) != name.lower())
-    return raw_from_lines(spark.read.text(path), table).where(is_data)
+    return raw_from_lines(spark.read.text(path), table).where(_is_data(F.col(name), name))
 
 
 def typed(raw: DataFrame, table: T.StructType, fields: Fields) -> DataFrame:
@@ -82,14 +100,16 @@ def typed(raw: DataFrame, table: T.StructType, fields: Fields) -> DataFrame:
     kept = raw.where(F.col("n_fields") >= fields.at_least)
     if fields.at_most is not None:
         kept = kept.where(F.col("n_fields") <= fields.at_most)
-    return kept.select(*[
+    return kept.select(*_typed_columns(table, [F.col(f"`{f.name}`") for f in table]))
+
+
+def _typed_columns(table: T.StructType, columns: list[Column]) -> list[Column]:
+    return [
         (
-            trim_controls(F.col(f"`{f.name}`"))
-            if isinstance(f.dataType, T.StringType)
-            else parse_long(F.col(f"`{f.name}`"), f.dataType.simpleString())
+            trim_controls(c) if isinstance(f.dataType, T.StringType) else parse_long(c, f.dataType.simpleString())
         ).alias(f.name)
-        for f in table
-    ])
+        for f, c in zip(table, columns, strict=True)
+    ]
 
 
 def read_users(spark: SparkSession, path: str, fields: Fields = AT_LEAST_5) -> DataFrame:
@@ -104,14 +124,39 @@ def read_access_logs(spark: SparkSession, path: str, fields: Fields = AT_LEAST_3
     return typed(read_raw(spark, path, ACCESS_LOGS), ACCESS_LOGS, fields)
 
 
-def split_merged(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Friendships (3 fields) and accesses (5 fields) out of one file of mixed lines.
+def _is_data(first: Column, name: str) -> Column:
+    """Whether a record is none of the header lines, known by the name of their first column."""
+    return starts_like_number(first) | (F.lower(trim_controls(first)) != name.lower())
+
+
+FRIENDSHIP, ACCESS = "friendship", "access"
+
 
-    ``lines`` has one column ``value``, as ``spark.read.text`` gives it. A
-    friendship with all its five columns cannot be told from an access.
+def tagged_merged(lines: DataFrame) -> DataFrame:
+    """The records of one file of friendships (3 fields) and accesses (5), as text, with ``kind``.
+
+    ``lines`` has one column ``value``, as ``spark.read.text`` gives it. Every line
+    is split once. A friendship has its ends in the second and third column, named
+    as those of an access. Header lines of either table are left out. A friendship
+    with all its five columns cannot be told from an access.
     """
+    raw = raw_from_lines(lines, ACCESS_LOGS)
+    first = F.col(ACCESS_LOGS.fieldNames()[0])
+    data = _is_data(first, ACCESS_LOGS.fieldNames()[0]) & _is_data(first, ASSOCIATES.fieldNames()[0])
+    kind = F.when(F.col("n_fields") == 3, FRIENDSHIP).when(F.col("n_fields") == 5, ACCESS)
+    return raw.where(F.col("n_fields").isin(3, 5) & data).withColumn("kind", kind)
+
+
+def split_merged(lines: DataFrame) -> DataFrame:
+    """Friendships and accesses out of one file of mixed lines, read once: ``kind``, and a typed
+    record in ``friendship`` or ``access``."""
     friends = T.StructType(ASSOCIATES.fields[:3])
-    return (
-        typed(raw_from_lines(lines, friends), friends, Fields(3, 3)),
-        typed(raw_from_lines(lines, ACCESS_LOGS), ACCESS_LOGS, EXACTLY_5),
+    raw = tagged_merged(lines)
+    names = raw.columns
+    friendship = F.struct(*_typed_columns(friends, [F.col(c) for c in names[: len(friends)]]))
+    access = F.struct(*_typed_columns(ACCESS_LOGS, [F.col(c) for c in names[: len(ACCESS_LOGS)]]))
+    return raw.select(
+        "kind",
+        F.when(F.col("kind") == FRIENDSHIP, friendship).alias(FRIENDSHIP),
+        F.when(F.col("kind") == ACCESS, access).alias(ACCESS),
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amity import sinks
 
 # Known schemas spare every read the job that would look one up in a file.
 SCHEMAS = {
@@ -166,7 +167,9 @@ def order_accesses(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Lines of text of very different shapes: accesses with a readable time, and the
 # lines of all documents, cut at commas.
 RAW_LINES_SQL = f"""
-    SELECT concat_ws(',', "AccessId", "ByWho", "WhatPage", "TypeOfAccess", "AccessTime") AS value
+    SELECT coalesce("AccessId"::VARCHAR, '') || ',' || coalesce("ByWho"::VARCHAR, '') || ','
+           || coalesce("WhatPage"::VARCHAR, '') || ',' || coalesce("TypeOfAccess", '') || ','
+           || coalesce("AccessTime"::VARCHAR, '') AS value
     FROM ({ACCESS_LOGS_MILLIS_SQL})
     UNION ALL
     SELECT unnest(string_split(text, chr(10))) AS value FROM documents
@@ -174,7 +177,7 @@ RAW_LINES_SQL = f"""
 
 
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return access_logs_millis(spark, sf_dir).select(F.concat_ws(",", "*").alias("value"))
+    return sinks.lines(access_logs_millis(spark, sf_dir), sep=",")
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +191,24 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Friendships as lines of three fields among accesses as lines of five."""
-    friends = associates(spark, sf_dir).select(
-        F.concat_ws(",", "FriendRel", "PersonA_ID", "PersonB_ID").alias("value")
-    )
-    return friends.unionByName(access_lines(spark, sf_dir))
+    friends = associates(spark, sf_dir).select("FriendRel", "PersonA_ID", "PersonB_ID")
+    return sinks.lines(friends, sep=",").unionByName(access_lines(spark, sf_dir))
+
+
+# Users as lines whose names hold a comma and quotes.
+def quoted_user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doubled = F.concat(F.lit('"'), F.col("Name"), F.lit(', ""'), F.col("Hobby"), F.lit('"""'))
+    return sinks.lines(users(spark, sf_dir).withColumn("Name", doubled), sep=",")
+
+
+# Lines of documents whose first field opens a quote, which mostly is not closed.
+OPENED_LINES_SQL = """
+    SELECT '"' || line AS value
+    FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE NOT contains(line, '"')
+"""
+
+
+def opened_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = document_lines(spark, sf_dir).where(~F.contains("value", F.lit('"')))
+    return lines.select(F.concat(F.lit('"'), "value").alias("value"))

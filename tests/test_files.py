@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from amity import generate, sinks
 from amity.__main__ import main
 from amity.plans import tasks
-from amity.plans.scratch import scratch_dir
+from amity.schemas import USERS
 from amity.sources import read_access_logs, read_associates, read_users
 
 
@@ -98,6 +98,14 @@ class TestSinks:
             assert rows(back) == rows(df)
             assert back.dtypes == df.dtypes
 
+    def test_any_text_comes_back(self, spark, out, rows):
+        df = spark.createDataFrame([
+            (1, 'a "q", b', "India", 1, "x"), (2, "back\\slash, z", "a\\", 2, '"'), (3, '"all"', "b,c", 3, '""'),
+            (4, "6\" Bo", "d", 4, ',"'), (5, "\\\"", "e", None, "plain"),
+        ], USERS)
+        sinks.write_table(df, out)
+        assert rows(read_users(spark, out)) == rows(df)
+
 
 class TestTasks:
     def test_a(self, spark, files, out):
@@ -146,6 +154,15 @@ class TestTasks:
     def test_g(self, spark, files, out):
         tasks.task_g(spark, files["logs"], out, as_of=7_776_000_100)
         assert text(f"{out}/inactivePersons") == ["10"]
+        tasks.task_g(spark, files["logs"], f"{out}2", as_of=200, window=50, order="numeric")
+        assert text(f"{out}2/inactivePersons") == ["10"]
+        tasks.task_g_minutes(spark, files["logs"], f"{out}3", now=100 * 60 + 90 * 86_400)
+        assert text(f"{out}3/inactivePersons") == ["10"]
+
+    def test_order(self, spark, files, out):
+        tasks.task_h(spark, files["associates"], out, users=files["users"], order="numeric")
+        parts = sorted(glob.glob(f"{out}/part-*"))
+        assert [line.split("\t")[0] for p in parts for line in open(p).read().splitlines()] == ["1", "2", "3", "4"]
 
     def test_h(self, spark, files, out):
         tasks.task_h(spark, files["associates"], out)
@@ -163,12 +180,13 @@ class TestTasks:
         assert sorted(text(f"{out}/quality/rows")) == ["access_logs\t60", "associates\t100", "users\t30"]
         assert len(text(f"{out}/quality/violations")) == 9
         main(["task-g", tables[2], "--as-of", "99999999999", f"--out={out}/g"])
+        main(["task-g", tables[2], "--as-of", "2000000", "--window", "1500000", "--order", "text", f"--out={out}/g2"])
+        main(["task-g-minutes", tables[2], "--now", "1e9", f"--out={out}/g3"])
         main(["task-d", *tables[:2], f"--out={out}/d", "--alternative"])
         assert len(text(f"{out}/d")) == 30
         assert sum(int(line.split(",")[1]) for line in text(f"{out}/d")) == 200
 
 
-def test_scratch_is_below_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = scratch_dir(spark), scratch_dir(spark)
-    assert first.startswith(f"{shared}/") and first != second
+def test_quality_counts_rows_of_any_shape(spark, files, out):
+    main(["quality", f"--users={files['users']}", f"--associates={files['associates']}", f"--logs={files['logs']}", f"--out={out}"])
+    assert sorted(text(f"{out}/rows")) == ["access_logs\t6", "associates\t4", "users\t4"]

@@ -1,8 +1,9 @@
 """Edge cases on hand-made rows."""
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amity import operators as ops
@@ -79,7 +80,7 @@ class TestUserCounts:
 
     def test_by_country_code(self, users, rows):
         got = ops.users_per_country_code(users(ANN, BO, CY, (4, "D", "X", None, "H")))
-        assert rows(got) == [(3, 2), (4, 1)]
+        assert rows(got) == [(3, 2), (4, 1), (None, 1)]
 
 
 class TestTopPages:
@@ -132,12 +133,16 @@ class TestRelationshipCounts:
         got = ops.relationship_counts(users(ANN, (5, "Ann", "X", 1, "H")), friends((1, 5)))
         assert rows(got) == [(1, "Ann", 1), (5, "Ann", 1)]
 
-    def test_one_row_per_id(self, users, friends, rows):
+    def test_a_repeated_id_is_a_row_each(self, users, friends, rows):
         got = ops.relationship_counts(users(ANN, ANN), friends((1, 2)))
-        assert rows(got) == [(1, "Ann", 1)]
+        assert rows(got) == [(1, "Ann", 1)] * 2
 
 
 class TestAccessStats:
+    def test_unreadable_pages_count_in_the_total(self, visits, rows):
+        got = ops.access_stats(visits((7, 2), (7, None), (7, None), (8, None), (None, 1)))
+        assert rows(got) == [(7, 3, 1), (8, 1, 0)]
+
     def test_repeated_page(self, visits, rows):
         got = ops.access_stats(visits((1, 5), (1, 5), (1, 6), (2, 5)))
         assert rows(got) == [(1, 3, 2), (2, 1, 1)]
@@ -294,3 +299,13 @@ class TestQuality:
     def test_empty_tables(self, spark):
         empty = [spark.createDataFrame([], t) for t in (USERS, ASSOCIATES, ACCESS_LOGS)]
         assert [r.n for r in ops.contract_violations(*empty).collect()] == [0] * 9
+
+
+def test_a_zone_needs_a_zoned_column(spark):
+    at = datetime(2024, 1, 31, 5, tzinfo=timezone(timedelta(hours=5)))
+    logs = spark.sql("SELECT 1L ByWho, timestamp_ntz'2024-01-31 00:00:00' AccessTime")
+    with pytest.raises(ValueError):
+        ops.inactive_users(logs, at, timedelta(hours=1))
+    zoned = logs.withColumn("AccessTime", F.to_timestamp(F.lit("2024-01-31T00:00:00Z")))
+    assert ops.inactive_users(zoned, at, timedelta(hours=1)).count() == 0
+    assert ops.inactive_users(zoned, at + timedelta(hours=2), timedelta(hours=1)).count() == 1

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from amity import generate
 from amity import operators as ops
@@ -47,6 +48,7 @@ def test_filter_reaches_the_scan_and_nothing_is_shuffled(tables):
     "build, shuffles, columns",
     [
         (lambda t: ops.users_per_nationality(t["users"]), 1, ["Nationality"]),
+        (lambda t: ops.users_per_country_code(t["users"]), 1, ["CountryCod"]),
         (lambda t: ops.access_stats(t["logs"]), 2, ["ByWho,WhatPage"]),
         (lambda t: ops.relationship_counts(t["users"], t["associates"]), 2,
          ["ID,Name", "PersonA_ID,PersonB_ID"]),
@@ -60,29 +62,41 @@ def test_filter_reaches_the_scan_and_nothing_is_shuffled(tables):
         (lambda t: ops.owner_degree_profiles(t["associates"], t["users"]), 2,
          ["ID,Name,Nationality,CountryCod,Hobby", "PersonA_ID"]),
     ],
-    ids=["C", "E", "D", "F1", "F2", "G", "H1", "H3", "H2"],
+    ids=["C1", "C2", "E", "D", "F1", "F2", "G", "H1", "H3", "H2"],
 )
 def test_shuffles_and_columns(tables, build, shuffles, columns):
     text = plan(build(tables))
     assert text.count("Exchange hashpartitioning") == text.count("Exchange") == shuffles
-    # every shuffle carries rows that were grouped map-side
-    assert len(re.findall(r"Exchange hashpartitioning.*\n[^\n]*Aggregate\(", text)) == shuffles
+    # every shuffle but that of the profiles carries rows that were grouped map-side
+    profiles = "Name" in " ".join(columns)
+    assert len(re.findall(r"Exchange hashpartitioning.*\n[^\n]*HashAggregate\(", text)) == shuffles - profiles
     assert read_columns(text) == columns
 
 
-def test_top_pages_broadcasts_only_the_report(tables):
-    df = ops.top_pages(tables["logs"], tables["users"])
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
+@pytest.mark.parametrize("k", [10, 1000])
+def test_top_pages_joins_by_the_size_of_its_limit(spark, tables, k):
+    """The users are too large to be broadcast, the report is not; nothing but sizes says so."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000b")
+    try:
+        wide = tables["users"].withColumn("Name", F.repeat("Name", F.lit(1000)))
+        df = ops.top_pages(tables["logs"], wide, k=k)
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     assert final.count("FileScan parquet") == 2, "the accesses are read once"
-    assert final.count("ReusedExchange") == 1
-    assert final.count("BroadcastExchange") == 2 and final.count("TakeOrderedAndProject") == 2
-    scan_of_users = final.index("FileScan parquet [ID")
-    assert final.rindex("LeftSemi", 0, scan_of_users) > final.rindex("Exchange hashpartitioning(ID", 0, scan_of_users)
+    assert final.count("BroadcastHashJoin") == 2
 
 
-def test_a_long_report_is_not_broadcast(tables):
-    assert "BroadcastExchange" not in plan(ops.top_pages(tables["logs"], tables["users"], k=2_000_000))
+def test_the_page_is_parsed_once(spark):
+    for name in ("visits_per_page", "access_stats", "unvisited_friend_pairs"):
+        text = plan(QUERIES[name](spark, SF))
+        assert text.count("get_json_object") == text.count("events.parquet") == 1, name
+
+
+def test_profiles_are_not_sorted_or_grouped(tables):
+    text = plan(ops.relationship_counts(tables["users"], tables["associates"]))
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

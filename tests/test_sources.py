@@ -114,10 +114,31 @@ class TestLines:
         assert len(splitting) == 1 and "Generate explode" in splitting[0]
         assert any("Filter" in step and "AccessTime" not in step for step in plan)
 
+    @pytest.mark.parametrize("line, want", [
+        ('1,"Al,India,3,Boxing', ["1", '"Al', "India", "3", "Boxing"]),
+        ('3,6" Bo,India,3,"Box', ["3", '6" Bo', "India", "3", '"Box']),
+        ('1,"a ""q"", b",India,1,x', ["1", 'a "q", b', "India", "1", "x"]),
+        ('1, "b" ,c,d,e', ["1", '"b"', "c", "d", "e"]),
+        ('1,a,b,c,"d,e', ["1", "a", "b", "c", '"d']),
+        ('4,6" Bo,India,3,"Box,x', ["4", '6" Bo', "India", "3", '"Box']),
+        ('1,"x"y,z,"",', ["1", "xy", "z", None, None]),
+        ('"1","2","3","4","5"', ["1", "2", "3", "4", "5"]),
+        ('1,back\\slash "q",z,"a\\",b', ["1", 'back\\slash "q"', "z", "a\\", "b"]),
+    ])
+    def test_quotes(self, spark, line, want):
+        row = sources.raw_from_lines(spark.createDataFrame([(line,)], "value string"), USERS).first()
+        got = [None if v is None else v.strip() for v in row[:5]]
+        assert got == want
+        assert row.n_fields == {'1,a,b,c,"d,e': 6, '4,6" Bo,India,3,"Box,x': 6}.get(line, sum(v is not None for v in want))
+
     def test_split_merged(self, spark, rows):
         lines = spark.createDataFrame(
-            [("1,1,2",), ("1,1,2,Viewed,9",), ("1,1,2,3",), ("h,a,b",), ("5,6,7,,",)], "value string"
+            [("1,1,2",), ("1,1,2,Viewed,9",), ("1,1,2,3",), ("h,a,b",), ("5,6,7,,",),
+             ("FriendRel,PersonA_ID,PersonB_ID",), ("AccessId,ByWho,WhatPage,TypeOfAccess,AccessTime",),
+             ("FriendRel,PersonA_ID,PersonB_ID,DateofFriendship,Desc",)], "value string"
         )
-        friends, accesses = sources.split_merged(lines)
-        assert rows(friends) == [(1, 1, 2), (5, 6, 7), (None, None, None)]
-        assert rows(accesses) == [(1, 1, 2, "Viewed", 9)]
+        split = sources.split_merged(lines)
+        assert rows(split.where("kind = 'friendship'").select("friendship.*")) == [(1, 1, 2), (5, 6, 7), (None, None, None)]
+        assert rows(split.where("kind = 'access'").select("access.*")) == [(1, 1, 2, "Viewed", 9)]
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Generate explode") == 1
