@@ -333,9 +333,11 @@ def _candidates(rows: DataFrame, again: np.ndarray, hot: np.ndarray) -> DataFram
             for row, place, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = (value or "").encode()
                 starts, lasts, keys = runs(data)
-                for i in np.flatnonzero(_in(again, keys)).tolist():
-                    s, e, key = int(starts[i]), int(lasts[i]), _signed(int(keys[i]))
-                    if _in(hot, keys[i : i + 1])[0]:
+                found = _in(again, keys)
+                starts, lasts, keys = starts[found], lasts[found], keys[found]
+                columns = starts.tolist(), lasts.tolist(), keys.view(np.int64).tolist(), _in(hot, keys).tolist()
+                for s, e, key, is_hot in zip(*columns, strict=True):
+                    if is_hot:
                         for at in range(s, e + 1):
                             digest = xxhash.xxh3_128_intdigest(data[at : at + LENGTH])
                             high, low = _signed(digest >> 64), _signed(digest & ((1 << 64) - 1))
