@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amity.llm.tables import shared_checkpoint
+from amity.llm.tables import shared_table
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,18 +20,18 @@ def components(links: DataFrame) -> DataFrame:
     very many links. Rounds end when the links no longer change. Links that repeat
     or join a node with itself do no harm.
     """
+    links = shared_table(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     nodes = links.select("a").union(links.select("b")).distinct()
-    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges, state = shared_checkpoint(links.where("a <> b").distinct()), None
+    edges, state = links.where("a <> b"), None
 
     def least(df: DataFrame, name: str) -> DataFrame:
-        return shared_checkpoint(df.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", name))
+        return shared_table(df.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", name))
 
     while True:
         large = edges.join(least(edges, "b"), "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         small = large.join(least(large, "a"), "a")
         ends = F.explode(F.array("a", "b")).alias("a")
-        edges = shared_checkpoint(small.select(ends, F.col("m").alias("b")).where("a <> b").distinct())
+        edges = shared_table(small.select(ends, F.col("m").alias("b")).where("a <> b").distinct())
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(found) == state:
             break

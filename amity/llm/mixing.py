@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amity.llm.tables import shared_checkpoint
+from amity.llm.tables import shared_table
 
 BINS = 24
 STEPS = 60
@@ -72,7 +72,7 @@ def posteriors(measured: DataFrame, labelled: DataFrame, id_col: str, domains: l
         .distinct()
         .join(measured.select(id_col, *names), id_col)
     )
-    taught = shared_checkpoint(taught)
+    taught = shared_table(taught)
     shares = [i / BINS for i in range(1, BINS)]
     found = taught.agg(*(F.percentile_approx(m, shares, F.lit(10_000)).alias(m) for m in names)).first()
     edges = {m: sorted(set(found[m] or [])) for m in names}
@@ -161,8 +161,8 @@ def mix(
         id_col, token_count(whole).alias("n_tokens"), draw.alias("draw"), *(c.alias(m) for m, c in measures(whole).items())
     )
     # Numbers only; the texts are read once.
-    measured = shared_checkpoint(measured)
+    measured = shared_table(measured)
     found = posteriors(measured, labelled, id_col, domains)
-    rated = fit_rates(shared_checkpoint(found.select(id_col, "n_tokens", "draw", "posterior")), list(weights.values()), total)
+    rated = fit_rates(shared_table(found.select(id_col, "n_tokens", "draw", "posterior")), list(weights.values()), total)
     copies = F.floor("rate") + (F.col("draw") < F.col("rate") - F.floor("rate")).cast("int")
     return rated.select(id_col, "n_tokens", "posterior", "rate", copies.cast("int").alias("copies"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amity.llm.components import components
-from amity.llm.tables import shared_checkpoint, shared_table
+from amity.llm.tables import shared_table
 
 SEED = 42
 SHINGLE = 4
@@ -291,7 +291,7 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, large: int = LARGE)
 
     # Large buckets: runs along the Gray order, and the pairs of runs that may hold a link.
     ranked = project(prints).join(hot, keys).withColumn("rank", gray_rank_column(F.col("fp")))
-    ranked = shared_checkpoint(ranked)
+    ranked = shared_table(ranked)
     n_max = ranked.agg(F.max("n")).first()[0]
     steps = [i / 32 for i in range(1, 32)]
     # Buckets are cut again and again by 32 until their runs are small enough.
@@ -299,14 +299,14 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, large: int = LARGE)
     while cut > large:
         bounds = runs.groupBy(*keys, "run").agg(F.percentile_approx("rank", steps).alias("bounds"))
         place = F.size(F.filter("bounds", lambda b: b < F.col("rank")))
-        runs = shared_checkpoint(
+        runs = shared_table(
             runs.join(bounds, [*keys, "run"]).withColumn("run", F.col("run") * 32 + place).drop("bounds")
         )
         cut //= 16
     nodes = runs.groupBy(*keys, "run").agg(
         F.expr("bit_and(fp)").alias("every"), F.expr("bit_or(fp)").alias("some"), F.count("*").alias("members")
     )
-    nodes = shared_checkpoint(nodes)
+    nodes = shared_table(nodes)
     other = nodes.select(*keys, *(F.col(c).alias(f"{c}_b") for c in ("run", "every", "some")))
     fixed = F.col("every").bitwiseAND(F.bitwise_not("some_b")).bitwiseOR(
         F.col("every_b").bitwiseAND(F.bitwise_not("some"))
@@ -341,7 +341,7 @@ def near_duplicates(
     zero and are linked like any other. A NULL id has a fingerprint and links
     others, but is no one's smallest id (NULL where a component has no other).
     """
-    marked = shared_checkpoint(fingerprints(docs.select(id_col, text), text, "fp"))
+    marked = shared_table(fingerprints(docs.select(id_col, text), text, "fp"))
     # Copies meet before anything else; one row of each fingerprint goes on.
     least = marked.groupBy("fp").agg(F.min(id_col).alias("least"))
     classes = components(near_links(least.select("fp"), distance, large))
@@ -349,7 +349,7 @@ def near_duplicates(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )
     # Kept, so that the join is between two plain shuffles, which Spark splits at a large component.
-    named = shared_checkpoint(named)
-    smallest = shared_checkpoint(named.groupBy("root").agg(F.min("least").alias("component")))
+    named = shared_table(named)
+    smallest = shared_table(named.groupBy("root").agg(F.min("least").alias("component")))
     by_print = named.join(smallest, "root").select("fp", "component")
     return marked.join(by_print, "fp").select(id_col, F.col("fp").alias("fingerprint"), "component")

@@ -6,7 +6,6 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -14,35 +13,25 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` computed and kept in the folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, as the session or its context has it.
 
-    The session's own setting holds; a folder is made up only where none is set
-    (tests, one machine).
+    A folder is made up only where none is set (tests, one machine).
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None)
-            or tempfile.mkdtemp(prefix="amity-")
-        )
-    return df.checkpoint()
-
-
-def whole(column: str):
-    """Text with NULL read as the empty text."""
-    return F.coalesce(F.col(column), F.lit(""))
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="amity-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def shared_table(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet below the shared folder and read again.
 
-    Unlike a checkpoint its size is known to the planner, which then chooses
-    joins by it.
+    Its lineage ends there, as with a checkpoint, but it is computed once, and its
+    size is known to the planner, which then chooses joins by it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared_checkpoint(df.limit(0))
-    path = f"{context.getCheckpointDir()}/{uuid4()}"
+    path = f"{shared_folder(df.sparkSession)}/{uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
