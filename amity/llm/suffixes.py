@@ -36,7 +36,7 @@ from amity.llm.tables import shared_table
 LENGTH = 100
 GRAM = 32
 HOT = 2048  # segments of one hash
-SIEVE_BITS = 25
+SIEVE_BITS = 27
 SHARD_BYTES = 1 << 20
 QUEUED = 1 << 24  # entries that a queue keeps in memory
 
@@ -80,7 +80,7 @@ def _kinds(t: np.ndarray) -> np.ndarray:
 
 
 def _deal(queues: list[Queue], places: np.ndarray, symbols: np.ndarray) -> None:
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")  # a radix sort
     symbols, places = symbols[order], places[order]
     cuts = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
     for s, e in zip(cuts, [*cuts[1:], len(symbols)], strict=True):
@@ -240,16 +240,45 @@ def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
 NOTHING = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
-def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(data: bytes, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of strings with the same least gram hash: first start, last start, hash."""
     if len(data) < LENGTH:
         return NOTHING
-    least = _slide(gram_hashes(data), LENGTH - GRAM + 1, np.minimum)
+    least = _slide(gram_hashes(data) if hashes is None else hashes, LENGTH - GRAM + 1, np.minimum)
     cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
     starts = np.append(0, cuts)
     return starts, np.append(cuts, len(least)) - 1, least[starts]
 
 
+def gram_place(hashes: np.ndarray, start: int, last: int, key: np.uint64) -> int:
+    """Where the run's least gram stands in its segment; -1 if it stands there more than once."""
+    places = np.flatnonzero(hashes[start : last + LENGTH - GRAM + 1] == key)
+    return int(places[0]) if len(places) == 1 else -1
+
+
+def may_repeat(group: dict[bytes, tuple]) -> list[tuple[bytes, tuple]]:
+    """The segments of one hash that may share a string with another of them.
+
+    A string has ``LENGTH - GRAM`` bytes around its least gram, so half of that at
+    least on one side. A segment whose half on either side no other has shares none.
+    """
+    if any(gram < 0 for *_, gram in group.values()):
+        return list(group.items())
+    half = (LENGTH - GRAM) // 2
+    sides: dict[tuple[bool, bytes], int] = {}
+    own = []
+    for data, (*_, gram) in group.items():
+        found = []
+        if gram >= half:
+            found.append((False, data[gram - half : gram]))
+        if len(data) - gram - GRAM >= half:
+            found.append((True, data[gram + GRAM : gram + GRAM + half]))
+        own.append(found)
+        for side in found:
+            sides[side] = sides.get(side, 0) + 1
+    return [x for x, found in zip(group.items(), own, strict=True) if any(sides[s] > 1 for s in found)]
+
+
 def run_hashes(data: bytes) -> np.ndarray:
     """The hash of each run, and once more for each that is found twice inside one run, as
     in a text that repeats itself within a string's length."""
@@ -298,9 +327,9 @@ def _in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 FOUND = pa.schema([
     ("part", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("low", pa.int64()), ("place", pa.int64()),
-    ("row", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("data", pa.binary()),
+    ("row", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("gram", pa.int32()), ("data", pa.binary()),
 ])
-FOUND_SQL = "part long, kind int, key long, low long, place long, row long, start long, stop long, data binary"
+FOUND_SQL = "part long, kind int, key long, low long, place long, row long, start long, stop long, gram int, data binary"
 REPEAT, SEGMENT, STRING = 0, 1, 2
 
 
@@ -327,23 +356,25 @@ def _candidates(rows: DataFrame, again: np.ndarray, hot: np.ndarray) -> DataFram
                 elif here == there[1]:
                     return
                 if here:
-                    _, row, start, stop = here
-                    out.append((row, REPEAT, 0, 0, 0, row, start, stop, None))
+                    _, row, start, stop, _ = here
+                    out.append((row, REPEAT, 0, 0, 0, row, start, stop, 0, None))
 
             for row, place, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = (value or "").encode()
-                starts, lasts, keys = runs(data)
+                hashes = gram_hashes(data) if len(data) >= LENGTH else None
+                starts, lasts, keys = runs(data, hashes)
                 found = _in(again, keys)
                 starts, lasts, keys = starts[found], lasts[found], keys[found]
-                columns = starts.tolist(), lasts.tolist(), keys.view(np.int64).tolist(), _in(hot, keys).tolist()
-                for s, e, key, is_hot in zip(*columns, strict=True):
+                columns = starts.tolist(), lasts.tolist(), keys, keys.view(np.int64).tolist(), _in(hot, keys).tolist()
+                for s, e, least, key, is_hot in zip(*columns, strict=True):
                     if is_hot:
                         for at in range(s, e + 1):
                             digest = xxhash.xxh3_128_intdigest(data[at : at + LENGTH])
                             high, low = _signed(digest >> 64), _signed(digest & ((1 << 64) - 1))
-                            meet(digest, (STRING, high, low), (place, row, at, at + LENGTH))
+                            meet(digest, (STRING, high, low), (place, row, at, at + LENGTH, 0))
                     else:
-                        meet(data[s : e + LENGTH], (SEGMENT, key, 0), (place, row, s, e + LENGTH))
+                        here = (place, row, s, e + LENGTH, gram_place(hashes, s, e, least))
+                        meet(data[s : e + LENGTH], (SEGMENT, key, 0), here)
             for content, ((kind, key, low), here) in first.items():
                 out.append((key, kind, key, low, *here, content if kind == SEGMENT else None))
             yield pa.RecordBatch.from_arrays(
@@ -355,6 +386,19 @@ def _candidates(rows: DataFrame, again: np.ndarray, hot: np.ndarray) -> DataFram
     return rows.select("row", "place", "text").mapInArrow(run, FOUND_SQL)
 
 
+def merged(spans: np.ndarray) -> list[np.ndarray]:
+    """Rows, starts and stops of (row, start, stop) spans, those of a row that touch made one."""
+    row, start, stop = spans[np.lexsort((spans[:, 1], spans[:, 0]))].T
+    if not len(row):
+        return [row, start, stop]
+    # Stops so far within a row: rows are set apart by more than any text is long.
+    apart = np.cumsum(np.append(False, row[1:] != row[:-1])) * (int(stop.max()) + 2)
+    reach = np.maximum.accumulate(stop + apart)
+    heads = np.flatnonzero(np.append(True, start[1:] + apart[1:] > reach[:-1]))
+    ends = np.append(heads[1:], len(row)) - 1
+    return [row[heads], start[heads], reach[ends] - apart[ends]]
+
+
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats as ``row, start, stop``, from candidates sorted by kind, key and low."""
     out: list[tuple[int, int, int]] = []
@@ -370,37 +414,32 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close_group() -> None:
         nonlocal size
-        if len(group) == 1:
-            (data,) = group
-            strings = len(data) - LENGTH + 1
-            # One segment repeats nothing but itself, if anything.
-            if strings <= LENGTH and len({data[i : i + LENGTH] for i in range(strings)}) == strings:
-                group.clear()
-        shard.extend(group.items())
-        size += sum(map(len, group))
+        kept = may_repeat(group)
+        shard.extend(kept)
+        size += sum(len(data) for data, _ in kept)
         group.clear()
         if size >= SHARD_BYTES:
             sort_shard()
             size = 0
 
     def emit() -> pa.RecordBatch:
-        columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 3
+        columns = merged(np.array(out, np.int64).reshape(-1, 3))
         out.clear()
-        return pa.RecordBatch.from_arrays(columns, ["row", "start", "stop"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row", "start", "stop"])
 
     for batch in batches:
-        for _, kind, key, low, place, row, start, stop, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for _, kind, key, low, place, row, start, stop, gram, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if kind == REPEAT:
                 out.append((row, start, stop))
                 continue
-            here = (place, row, start, stop)
+            here = (place, row, start, stop, gram)
             if (kind, key, low) != last:
                 close_group()
                 last, best = (kind, key, low), None
             known = group.get(data) if kind == SEGMENT else best
             if known is None or here < known:
                 if known is not None:
-                    out.append(known[1:])
+                    out.append(known[1:4])
                 if kind == SEGMENT:
                     group[data] = here
                 else:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from amity.llm.suffixes import LENGTH, Queue, equal_strings, remove_repeats, runs, suffix_order
+from amity.llm.suffixes import LENGTH, Queue, equal_strings, merged, remove_repeats, runs, suffix_order
 
 
 @pytest.mark.parametrize("letters", ["ab", "a", "abcdefgh", "".join(map(chr, range(200)))])
@@ -27,6 +27,16 @@ def test_queue_keeps_its_order():
     assert not len(queue.take())
 
 
+def test_merged_spans():
+    rng = random.Random(7)
+    spans = [(rng.randint(-2, 2), a := rng.randrange(400), a + rng.randint(1, 30)) for _ in range(90)]
+    covered = {(row, i) for row, a, b in spans for i in range(a, b)}
+    got = list(zip(*(c.tolist() for c in merged(np.array(spans))), strict=True))
+    assert {(row, i) for row, a, b in got for i in range(a, b)} == covered
+    assert all((row, b) not in covered and (row, a - 1) not in covered for row, a, b in got)
+    assert len(merged(np.zeros((0, 3), np.int64))[0]) == 0
+
+
 def test_equal_strings():
     rng = random.Random(2)
     parts = [bytes(rng.choice(b"abc") for _ in range(60)) for _ in range(6)]
