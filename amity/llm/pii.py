@@ -3,15 +3,15 @@
 E-mail addresses, IP addresses, card and phone numbers are found by pattern.
 Each of their values is a protected entity. How far a term reveals an entity is
 its pointwise mutual information with the entity over the information of the
-entity itself, from counts over all different texts:
+entity itself, from counts over all documents:
 
     disclosure(t; e) = log(N * n(t, e) / (n(t) * n(e))) / log(N / n(e))
 
-``n(t, e)`` counts texts with the term beside the entity, ``n(t)`` and ``n(e)``
-all texts with either. It is 1 for a term that is found only where the entity is.
+``n(t, e)`` counts documents with the term beside the entity, ``n(t)`` and ``n(e)``
+all with either. It is 1 for a term that is found only where the entity is.
 Terms at or above ``GENERALISE_AT`` are replaced by a general word near the
 entity, those at or above ``REMOVE_AT`` are taken out. Fewer than
-``MIN_SUPPORT`` texts together are no evidence.
+``MIN_SUPPORT`` different texts together are no evidence.
 
 Everything is built from column functions. All patterns are possessive and
 anchored at the start of a run, so that they take linear time and no stack.
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amity.llm.tables import shared_checkpoint
+from amity.llm.tables import shared_table
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -43,7 +43,6 @@ MIN_TERM_CHARS = 3
 MIN_SUPPORT = 4
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
-SLOTS = 1 << 18
 
 
 def spans_of(text: Column, pattern: str) -> Column:
@@ -128,14 +127,13 @@ def _beside(text: Column, span: Column) -> Column:
 def revealing_terms(texts: DataFrame) -> DataFrame:
     """``key, start, end, disclosure`` of the terms to hide in ``texts`` (``key, text, spans``).
 
-    ``key`` stands for the text: copies count once, and their terms are found
-    once. Counts cover all texts. Contexts are a fixed stretch on either side, so
-    a text with many entities gives rows in proportion to its entities. Counts are
-    merged before each shuffle, so an entity or a term in a third of all texts
-    sends one row per task.
+    ``key`` stands for the text: the terms of copies are found once, and support
+    counts different texts. All other counts cover all documents. Contexts are a fixed
+    stretch on either side, so a text with many entities gives rows in proportion to
+    its entities. Counts are merged before each shuffle, so an entity or a term in
+    a third of all texts sends one row per task.
     """
-    n_texts = texts.select("key").distinct().count()
-
+    n_docs = texts.count()
     beside = (
         texts.select("key", F.explode(F.transform("spans", lambda s: F.struct(s.alias("span"), _beside(F.col("text"), s).alias("sides")))).alias("x"))
         .select("key", F.concat_ws(":", "x.span.kind", F.lower("x.span.value")).alias("entity"), F.explode("x.sides").alias("side"))
@@ -153,40 +151,30 @@ def revealing_terms(texts: DataFrame) -> DataFrame:
             (F.col("at") + F.col("term.end")).alias("end"),
         )
         .where(F.char_length("term") >= MIN_TERM_CHARS)
-        .distinct()
+        .groupBy("key", "entity", "term", "start", "end")
+        .agg(F.count("*").alias("copies"))
     )
-    beside = shared_checkpoint(beside)
+    beside = shared_table(beside)
 
-    def texts_per(*columns: str) -> DataFrame:
-        return beside.select("key", *columns).distinct().groupBy(*columns)
+    def docs_per(*columns: str, name: str) -> DataFrame:
+        once = beside.groupBy("key", *columns).agg(F.max("copies").alias("copies"))
+        return once.groupBy(*columns).agg(F.sum("copies").alias(name), F.count("*").alias("texts"))
 
-    pairs = texts_per("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT)
-    entities = texts_per("entity").agg(F.count("*").alias("n_entity"))
-    wanted = shared_checkpoint(pairs.select("term").distinct())
-    # A first sieve over the terms of all texts: at most SLOTS rows, whatever the data.
-    slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).cast("int")
-    slots = wanted.select(slot.alias("slot")).distinct()
+    pairs = docs_per("entity", "term", name="n_both").where(F.col("texts") >= MIN_SUPPORT).drop("texts")
+    entities = docs_per("entity", name="n_entity").drop("texts")
     every = texts.select(
-        "key",
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"),
-    )
-    counts = (
-        every.withColumn("slot", slot)
-        .join(F.broadcast(slots), "slot", "left_semi")
-        .join(wanted, "term", "left_semi")
-        .select("key", "term")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
+        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
     )
+    # Merged in each task first: what is shuffled is a task's vocabulary.
+    counts = every.groupBy("term").agg(F.count("*").alias("n_term"))
     telling = (
         pairs.join(entities, "entity")
         .join(counts, "term")
-        .withColumn("n_texts", F.lit(n_texts))
-        .withColumn("own", F.log(F.col("n_texts") / F.col("n_entity")))
+        .withColumn("n_docs", F.lit(n_docs))
+        .withColumn("own", F.log(F.col("n_docs") / F.col("n_entity")))
         .withColumn(
             "disclosure",
-            F.log(F.col("n_texts") * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.col("own"),
+            F.log(F.col("n_docs") * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.col("own"),
         )
         .where((F.col("own") > 0) & (F.col("disclosure") >= GENERALISE_AT))
         .select("entity", "term", "disclosure")

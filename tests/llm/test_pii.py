@@ -40,27 +40,29 @@ def plain_base(text):
 
 
 def plain_terms(texts):
-    different = sorted({t for t in texts})
+    """Of all documents' texts: text -> spans of terms."""
+    copies = Counter(texts)
     beside = defaultdict(set)
-    n_entity, n_both, n_term = defaultdict(set), defaultdict(set), Counter()
-    for t in different:
-        n_term.update({w.lower() for w in re.findall(r"[^\W_]+", t)})
+    n_entity, n_both, n_term, together = Counter(), Counter(), Counter(), Counter()
+    for t, n in copies.items():
+        n_term.update({w.lower(): n for w in set(re.findall(r"[^\W_]+", t.lower()))})
         for kind, s, e, value in plain_base(t):
             entity = kind + ":" + value.lower()
-            n_entity[entity].add(t)
             for at, side in ((max(0, s - 120), t[max(0, s - 120) : s]), (e, t[e : e + 120])):
                 for m in re.finditer(r"[^\W_]+", side):
                     if len(m.group()) >= 3:
                         beside[t].add((entity, m.group().lower(), at + m.start(), at + m.end()))
-                        n_both[entity, m.group().lower()].add(t)
+        n_entity.update(dict.fromkeys({x[0] for x in beside[t]}, n))
+        n_both.update(dict.fromkeys({x[:2] for x in beside[t]}, n))
+        together.update({x[:2] for x in beside[t]})
     out = {}
-    for t in different:
+    for t in copies:
         found = set()
         for entity, term, s, e in beside[t]:
-            both, of = len(n_both[entity, term]), len(n_entity[entity])
-            own = log(len(different) / of)
-            if both >= pii.MIN_SUPPORT and own > 0:
-                if log(len(different) * both / (n_term[term] * of)) / own >= pii.GENERALISE_AT - 1e-12:
+            both, of = n_both[entity, term], n_entity[entity]
+            own = log(len(texts) / of)
+            if together[entity, term] >= pii.MIN_SUPPORT and own > 0:
+                if log(len(texts) * both / (n_term[term] * of)) / own >= pii.GENERALISE_AT - 1e-12:
                     if not any(a < e and s < b for _, a, b, _ in plain_base(t)):
                         found.add(("term", s, e))
         out[t] = sorted(found)
