@@ -27,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,12 +68,9 @@ class Weights(dict):
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as (start, end, score), in order; linear time."""
     found: list[list] = []  # start, end, sum before start, sum at end, index of the last with a lower sum before
-    total = 0.0
-    for at, score in enumerate(scores):
-        before, total = total, total + score
-        if score <= 0:
-            continue
-        start, end, left, right = at, at + 1, before, total
+    sums = list(accumulate(scores, initial=0.0))
+    for at in [i for i, score in enumerate(scores) if score > 0]:
+        start, end, left, right = at, at + 1, sums[at], sums[at + 1]
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= left:
@@ -97,18 +95,24 @@ class Model:
     offset: float = 0.0
 
     def segments(self, text: str, weights: Weights) -> list[tuple[int, int, float, float]]:
-        """(start, end, score, E) of each maximal segment, in code points."""
+        """(start, end, score, E) of each maximal segment, in tokens."""
         scores = list(map(weights.__getitem__, TOKEN.findall(text)))
         if not scores or max(scores) <= 0:
             return []
-        found = maximal_segments(scores)
-        places = [m.span() for m in TOKEN.finditer(text)]
         n = len(scores)
         return [
-            (places[s][0], places[e - 1][1], score, self.k * n * math.exp(-self.decay * score))
-            for s, e, score in found
+            (s, e, score, self.k * n * math.exp(-self.decay * score)) for s, e, score in maximal_segments(scores)
         ]
 
+    @staticmethod
+    def passages(text: str, segments: list[tuple[int, int, float, float]]) -> list[tuple[int, int, float, float]]:
+        """The significant segments, in code points."""
+        significant = [x for x in segments if x[3] < 1]
+        if not significant:
+            return []
+        places = [m.span() for m in TOKEN.finditer(text)]
+        return [(places[s][0], places[e - 1][1], score, expected) for s, e, score, expected in significant]
+
     @staticmethod
     def evidence(segments: list[tuple[int, int, float, float]]) -> float:
         expected = sorted(e for *_, e in segments)
@@ -144,20 +148,20 @@ def _counts(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: dict[int, Counter] = {}
+        known: dict[str, list[str]] = {}  # a token's counted forms
+
+        def counted(token: str) -> list[str]:
+            found = known.get(token)
+            if found is None:
+                if len(known) >= FLUSH_AT:
+                    known.clear()
+                found = known[token] = [f for f in forms(token) if wanted is None or f in wanted]
+            return found
 
         def flush() -> pa.RecordBatch:
             rows = []
             for label, seen in tokens.items():
-                all_forms: Counter = Counter()
-                lowered: Counter = Counter()
-                for raw, n in seen.items():
-                    lowered[raw.lower()] += n
-                for token, n in lowered.items():
-                    for form in forms(token):
-                        if wanted is None or form in wanted:
-                            all_forms[form] += n
-                all_forms[""] = sum(seen.values())
-                rows += [(form, label, n) for form, n in all_forms.items()]
+                rows += [(form, label, n) for form, n in seen.items()]
             tokens.clear()
             columns = list(zip(*rows, strict=True)) or [[], [], []]
             return pa.RecordBatch.from_arrays(
@@ -167,7 +171,10 @@ def _counts(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 
         for batch in batches:
             for value, label in zip(batch.column(0), batch.column(1), strict=True):
-                tokens.setdefault(label.as_py(), Counter()).update(TOKEN.findall(value.as_py() or ""))
+                own = set(map(str.lower, TOKEN.findall(value.as_py() or "")))
+                seen = tokens.setdefault(label.as_py(), Counter())
+                seen.update(set(chain.from_iterable(map(counted, own))))
+                seen.update({"": 1, " ": len(own)})
                 if sum(map(len, tokens.values())) >= FLUSH_AT:
                     yield flush()
         yield flush()
@@ -339,10 +346,11 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
         for batch in batches:
             scores, passages = [], []
             for value in batch.column(batch.schema.get_field_index(text)):
-                found = model.segments(value.as_py() or "", weights)
+                whole = value.as_py() or ""
+                found = model.segments(whole, weights)
                 scores.append(model.score(model.evidence(found)))
                 passages.append([
-                    {"start": s, "end": e, "score": x, "expected": n} for s, e, x, n in found if n < 1
+                    {"start": s, "end": e, "score": x, "expected": n} for s, e, x, n in model.passages(whole, found)
                 ])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in others),

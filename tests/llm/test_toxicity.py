@@ -36,7 +36,8 @@ def test_segments_against_their_definition():
 
 def test_passages_are_code_points():
     model = Model({"bad": 5.0, "worse": 5.0}, -1.0)
-    found = model.segments("é\U0001f600 fine Bad, WORSE! fine", Weights(model.weights, model.rest))
+    text = "é\U0001f600 fine Bad, WORSE! fine"
+    found = model.passages(text, model.segments(text, Weights(model.weights, model.rest)))
     assert [(s, e, x) for s, e, x, _ in found] == [(8, 18, 10.0)]
 
 
