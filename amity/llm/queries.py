@@ -144,10 +144,10 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op9_maxscore": """
         WITH vectors AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scores AS (
             SELECT q.vec_id AS query_id, c.vec_id,
                    list_dot_product(q.v, c.v)::BIGINT AS score
