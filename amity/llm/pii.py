@@ -235,7 +235,7 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _without(text: Column, spans: Column) -> Column:
-    """The text with its spans replaced or removed; of overlapping spans the first counts."""
+    """The text with its spans replaced or removed; overlapping spans go as one, by the mark of the first."""
     by_place = F.array_sort(
         F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"], s["action"]))
     )
@@ -243,10 +243,11 @@ def _without(text: Column, spans: Column) -> Column:
     def step(state: Column, s: Column) -> Column:
         mark = F.when(s["action"] == "removed", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
         kept = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.when(
-            s["start"] >= state["at"],
-            F.struct(s["end"].alias("at"), F.concat(state["out"], F.array(kept, mark)).alias("out")),
-        ).otherwise(state)
+        fresh = s["start"] >= state["at"]
+        return F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.when(fresh, F.concat(state["out"], F.array(kept, mark))).otherwise(state["out"]).alias("out"),
+        )
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     joined = F.aggregate(

@@ -123,3 +123,20 @@ def test_terms_against_brute_force(spark):
     first = next(r for r in rows if r.doc_id == 0)
     assert "[EMAIL]" in first.sanitised and "Zelda" not in first.sanitised
     assert pii.sanitise(docs.limit(0)).count() == 0
+
+
+def test_overlapping_forms_leave_nothing(spark):
+    rng = random.Random(3)
+    texts = ["10.0.0.1.john@corp.com", "4111111111111111@x.yz", *TRICKY]
+    for _ in range(300):
+        texts.append("".join(rng.choice(["1", "4111111111111111", "10.0.0.1", ".", "@", "a", "b.c", "+", " ", "-", "é", "x@y.z"]) for _ in range(rng.randint(1, 20))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.sanitised for r in pii.sanitise(docs.where("doc_id < 2")).collect()}
+    assert got == {0: "[IP]", 1: "[CARD]"}
+    spans = pii.base_spans(docs.text)
+    marked = docs.select("doc_id", pii._without(docs.text, pii.F.transform(spans, lambda s: s.withField("action", pii.F.lit("generalised")))).alias("out"))
+    for r in marked.collect():
+        t = texts[r.doc_id]
+        inside = {i for _, s, e, _ in plain_base(t) for i in range(s, e)}
+        clear = "".join(c for i, c in enumerate(t) if i not in inside)
+        assert re.sub(r"\[(EMAIL|IP|CARD|PHONE)\]", "", r.out) == clear, t
