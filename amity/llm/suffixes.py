@@ -281,7 +281,8 @@ def may_repeat(group: dict[bytes, tuple]) -> list[tuple[bytes, tuple]]:
 
 def run_hashes(data: bytes) -> np.ndarray:
     """The hash of each run, and once more for each that is found twice inside one run, as
-    in a text that repeats itself within a string's length."""
+    in a text that repeats itself within a string's length. A run goes on where its gram
+    stands again ``span`` places later: the string after the one that starts with it holds both."""
     if len(data) < LENGTH:
         return NOTHING[2]
     h, span = gram_hashes(data), LENGTH - GRAM + 1
@@ -290,7 +291,7 @@ def run_hashes(data: bytes) -> np.ndarray:
     around = _slide(np.pad(least, span - 1), span, np.maximum)
     places = np.flatnonzero(h == around)
     found = h[places]
-    twice = found[1:][(found[1:] == found[:-1]) & (np.diff(places) < span)]
+    twice = found[1:][(found[1:] == found[:-1]) & (np.diff(places) <= span)]
     return np.concatenate([least[:1], least[1:][least[1:] != least[:-1]], twice])
 
 

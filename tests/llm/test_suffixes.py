@@ -112,3 +112,16 @@ def test_odd_rows(spark):
     own = plain([(5, text)])[5]
     assert got == sorted([(5, *own[1:]), (5, *own[1:]), (None, 172, 172, 1), (7, 0, 0, 0), (None, 0, 0, 0), (9, 5, 0, 0)], key=str)
     assert remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_every_period(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    rows = []
+    for period in range(1, 101):
+        for n in (100 + period - 1, 100 + period, 100 + 2 * period + 7):
+            part = "".join(rng.choice(letters) for _ in range(period))  # found in one text only
+            rows.append((len(rows), (part * (n // period + 1))[:n]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in remove_repeats(docs).collect()}
+    assert got == plain(rows)
