@@ -7,10 +7,10 @@ entity itself, from counts over all documents:
 
     disclosure(t; e) = log(N * n(t, e) / (n(t) * n(e))) / log(N / n(e))
 
-``n(t, e)`` counts documents with the term beside the entity, ``n(t)`` and ``n(e)``
-all with either. It is 1 for a term that is found only where the entity is.
-Terms at or above ``GENERALISE_AT`` are replaced by a general word near the
-entity, those at or above ``REMOVE_AT`` are taken out. Fewer than
+``n(t, e)`` counts documents with both, the term outside the fixed forms, ``n(t)`` and
+``n(e)`` all with either. It is 1 for a term that is found only where the entity is.
+Wherever they stand in a document with the entity, terms at or above ``GENERALISE_AT``
+are replaced by a general word, those at or above ``REMOVE_AT`` are taken out. Fewer than
 ``MIN_SUPPORT`` different texts together are no evidence.
 
 Everything is built from column functions. All patterns are possessive and
@@ -37,7 +37,6 @@ HINTS = {"email": "@", "phone": "+"}
 
 NO_SPANS = "array<struct<start:int,end:int,value:string>>"
 
-CONTEXT_CHARS = 120
 TERM = r"[\p{L}\p{N}]++"
 MIN_TERM_CHARS = 3
 MIN_SUPPORT = 4
@@ -45,8 +44,9 @@ GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """Array of ``start, end, value`` of all matches, in code points, ends exclusive.
+def spans_of(text: Column, pattern: str, wanted=None) -> Column:
+    """Array of ``start, end, value`` of all matches, in code points, ends exclusive; of those
+    only whose value is ``wanted``, a function to a condition.
 
     The texts between the matches come from splitting by the same pattern, and
     places are sums of lengths.
@@ -58,7 +58,10 @@ def spans_of(text: Column, pattern: str) -> Column:
         start = state["at"] + F.char_length(pair["gap"])
         end = start + F.char_length(pair["value"])
         span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+        found = F.concat(state["found"], F.array(span))
+        if wanted is not None:
+            found = F.when(wanted(pair["value"]), found).otherwise(state["found"])
+        return F.struct(end.alias("at"), found.alias("found"))
 
     pairs = F.zip_with(
         values,
@@ -115,75 +118,63 @@ def _spans_of_kind(text: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"], s["end"], s["value"]))
 
 
-def _beside(text: Column, span: Column) -> Column:
-    """``start, text`` of what stands before and after a span."""
-    begin = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    return F.array(
-        F.struct(begin.alias("start"), F.substring(text, begin + 1, span["start"] - begin).alias("text")),
-        F.struct(span["end"].alias("start"), F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS)).alias("text")),
-    )
+def _terms(text: Column) -> Column:
+    """The different terms of a text in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def revealing_terms(texts: DataFrame) -> DataFrame:
-    """``key, start, end, disclosure`` of the terms to hide in ``texts`` (``key, text, spans``).
-
-    ``key`` stands for the text: the terms of copies are found once, and support
-    counts different texts. All other counts cover all documents. Contexts are a fixed
-    stretch on either side, so a text with many entities gives rows in proportion to
-    its entities. Counts are merged before each shuffle, so an entity or a term in
-    a third of all texts sends one row per task.
+    """``key, term, disclosure`` of the terms to hide in ``texts`` (``key, text, spans``).
+
+    ``key`` stands for the text: support counts different texts, all other counts
+    cover all documents. ``n(t, e)`` is ``n(e)`` at most, so a term on more than
+    ``N**(1 - GENERALISE_AT) * n(e)**GENERALISE_AT`` documents can't reveal the entity,
+    and one on fewer than ``MIN_SUPPORT`` has no evidence; both are left out before
+    terms meet entities. Counts are merged before each shuffle, so an entity or a term
+    in a third of all texts sends one row per task.
     """
     n_docs = texts.count()
-    beside = (
-        texts.select("key", F.explode(F.transform("spans", lambda s: F.struct(s.alias("span"), _beside(F.col("text"), s).alias("sides")))).alias("x"))
-        .select("key", F.concat_ws(":", "x.span.kind", F.lower("x.span.value")).alias("entity"), F.explode("x.sides").alias("side"))
-        .select(
-            "key",
-            "entity",
-            F.col("side.start").alias("at"),
-            F.explode(spans_of(F.col("side.text"), TERM)).alias("term"),
-        )
-        .select(
-            "key",
-            "entity",
-            F.lower("term.value").alias("term"),
-            (F.col("at") + F.col("term.start")).alias("start"),
-            (F.col("at") + F.col("term.end")).alias("end"),
-        )
-        .where(F.char_length("term") >= MIN_TERM_CHARS)
-        .groupBy("key", "entity", "term", "start", "end")
-        .agg(F.count("*").alias("copies"))
-    )
-    beside = shared_table(beside)
-
-    def docs_per(*columns: str, name: str) -> DataFrame:
-        once = beside.groupBy("key", *columns).agg(F.max("copies").alias("copies"))
-        return once.groupBy(*columns).agg(F.sum("copies").alias(name), F.count("*").alias("texts"))
-
-    pairs = docs_per("entity", "term", name="n_both").where(F.col("texts") >= MIN_SUPPORT).drop("texts")
-    entities = docs_per("entity", name="n_entity").drop("texts")
-    every = texts.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
+    formed = texts.where(F.size("spans") > 0)
+    entity = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))
+    held = formed.select("key", F.explode(F.array_distinct(entity)).alias("entity"))
+    held = shared_table(held.groupBy("key", "entity").agg(F.count("*").alias("copies")))
+    entities = (
+        held.groupBy("entity")
+        .agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts"))
+        .where((F.col("texts") >= MIN_SUPPORT) & (F.col("n_entity") < n_docs))
+        .withColumn("most", F.pow(F.lit(float(n_docs)), 1 - GENERALISE_AT) * F.pow("n_entity", GENERALISE_AT) * (1 + 1e-9))
+        .drop("texts")
     )
+    held = shared_table(held.join(entities, "entity"))
+    most = held.agg(F.max("most")).first()[0] or 0.0
+    outside = _terms(blanked(F.col("text"), F.col("spans")))
+    # A term that touches a form is another one without it; the document has both.
+    every = F.when(F.size("spans") > 0, F.array_union(_terms(F.col("text")), outside)).otherwise(_terms(F.col("text")))
     # Merged in each task first: what is shuffled is a task's vocabulary.
-    counts = every.groupBy("term").agg(F.count("*").alias("n_term"))
+    counts = texts.select(F.explode(every).alias("term")).where(F.char_length("term") >= MIN_TERM_CHARS)
+    counts = counts.groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term").between(MIN_SUPPORT, most))
+    terms = formed.select("key", F.explode(outside).alias("term")).where(F.char_length("term") >= MIN_TERM_CHARS)
+    terms = terms.join(shared_table(counts), "term").distinct()
+    pairs = shared_table(terms.join(held, "key").where(F.col("n_term") <= F.col("most")).drop("most"))
     telling = (
-        pairs.join(entities, "entity")
-        .join(counts, "term")
+        pairs.groupBy("entity", "term")
+        .agg(
+            F.sum("copies").alias("n_both"),
+            F.count("*").alias("texts"),
+            F.first("n_term").alias("n_term"),
+            F.first("n_entity").alias("n_entity"),
+        )
+        .where(F.col("texts") >= MIN_SUPPORT)
         .withColumn("n_docs", F.lit(n_docs))
-        .withColumn("own", F.log(F.col("n_docs") / F.col("n_entity")))
         .withColumn(
             "disclosure",
-            F.log(F.col("n_docs") * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.col("own"),
+            F.log(F.col("n_docs") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+            / F.log(F.col("n_docs") / F.col("n_entity")),
         )
-        .where((F.col("own") > 0) & (F.col("disclosure") >= GENERALISE_AT))
+        .where(F.col("disclosure") >= GENERALISE_AT)
         .select("entity", "term", "disclosure")
     )
-    return (
-        beside.join(telling, ["entity", "term"])
-        .groupBy("key", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
-    )
+    return pairs.join(telling, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
 SPAN = "struct<kind:string,start:int,end:int,action:string>"
@@ -193,7 +184,7 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans`` (kind, start, end, action) and ``sanitised``, the text without them.
 
     Spans of the fixed forms come first, by kind as listed and start, then those
-    of kind ``term`` by start; terms that overlap a fixed form are left out. Fixed
+    of kind ``term`` by start; a term ends where a fixed form begins. Fixed
     forms and general terms are replaced by their kind in brackets, revealing
     terms are removed. NULL texts count as empty and have no spans; equal rows
     stay, each with its spans.
@@ -204,7 +195,7 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     hidden = revealing_terms(based.select("key", F.col("whole").alias("text"), "spans"))
     terms = hidden.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")
+        F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("terms")
     )
     # Only texts with a fixed form can have terms; the others are spread by their other columns.
     spread = F.concat(F.lit("-"), F.hex(F.xxhash64(*[F.col(c) for c in rows.columns if c not in (text, "whole")])))
@@ -216,14 +207,18 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(kind.alias("kind"), span["start"].alias("start"), span["end"].alias("end"), action.alias("action"))
 
     base = F.transform("spans", lambda s: named(s["kind"], s, F.lit("generalised")))
-    clear = F.filter(
-        F.col("terms"),
-        lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
+    found = F.when(
+        F.col("terms").isNotNull(),
+        spans_of(
+            blanked(F.col("whole"), F.col("spans")), TERM, lambda value: F.map_contains_key(F.col("terms"), F.lower(value))
+        ),
     )
     more = F.transform(
-        clear,
+        found,
         lambda t: named(
-            F.lit("term"), t, F.when(t["disclosure"] >= REMOVE_AT, F.lit("removed")).otherwise(F.lit("generalised"))
+            F.lit("term"),
+            t,
+            F.when(F.element_at("terms", F.lower(t["value"])) >= REMOVE_AT, F.lit("removed")).otherwise(F.lit("generalised")),
         ),
     )
     spans = F.concat(base, F.coalesce(more, F.array().cast(f"array<{SPAN}>")))
@@ -234,6 +229,26 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with a blank for each character of its spans."""
+
+    def step(state: Column, s: Column) -> Column:
+        kept = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        blanks = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], state["at"]))
+        return F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], F.array(kept, blanks)).alias("out")
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"])))
+    return F.aggregate(
+        by_place,
+        start,
+        step,
+        lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.char_length(text))),
+    )
+
+
 def _without(text: Column, spans: Column) -> Column:
     """The text with its spans replaced or removed; overlapping spans go as one, by the mark of the first."""
     by_place = F.array_sort(

@@ -140,3 +140,23 @@ def test_overlapping_forms_leave_nothing(spark):
         inside = {i for _, s, e, _ in plain_base(t) for i in range(s, e)}
         clear = "".join(c for i, c in enumerate(t) if i not in inside)
         assert re.sub(r"\[(EMAIL|IP|CARD|PHONE)\]", "", r.out) == clear, t
+
+
+def test_terms_of_whole_documents(spark):
+    rng = random.Random(4)
+    words = ["word%d" % i for i in range(60)]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    texts = [prose(50) for _ in range(300)]
+    for i in range(0, 300, 15):
+        texts[i] = f"Zelda {prose(60)} Zelda, {prose(60)} host10.0.0.1 {prose(60)} zq@mail.org {prose(60)} ZELDA"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.sanitise(docs).collect()
+    assert len(rows) == 300
+    for r in rows:
+        t = texts[r.doc_id]
+        found = [t[s.start : s.end] for s in r.spans if s.kind == "term"]
+        assert found == (["Zelda", "Zelda", "host", "ZELDA"] if r.doc_id % 15 == 0 else [])
+        assert "zelda" not in r.sanitised.lower() and "host" not in r.sanitised
