@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amity.llm.bpe import decode_documents, encode_documents
@@ -12,6 +12,7 @@ from amity.llm.html import extract
 from amity.llm.lines import dedupe_lines
 from amity.llm.maxscore import integer_components, top_k
 from amity.llm.mixing import mix
+from amity.llm.periods import periodic_runs
 from amity.llm.pii import KINDS, sanitise
 from amity.llm.simhash import near_duplicates
 from amity.llm.suffixes import remove_repeats
@@ -128,6 +129,37 @@ def op9_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, asked, n_rows=n, n_queries=-(-n // 50), k=5)
 
 
+def repeated_words(words: Column, h: Column) -> Column:
+    """The words as one text, where from word ``a`` on the next ``p`` follow each other again and again."""
+    g = F.floor(h / 10)
+
+    def place(ws: Column, i: Column) -> Column:
+        n = F.size(ws)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+
+    # The words are bound once, as the lambda's argument.
+    again = F.transform(F.array(words), lambda ws: F.array_join(F.transform(ws, lambda _, i: F.get(ws, place(ws, i))), " "))
+    return F.get(again, F.lit(0))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(h % 10 == 0, repeated_words(words, h)).otherwise(F.col("text"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return periodic_runs(docs.withColumn("text", text)).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "longest.*",
+        F.floor(F.col("longest.length") * 1000 / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -139,9 +171,55 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
+#: CRC-32 in SQL: the table of its polynomial by rule, then one look-up for each byte of the text.
+_CRC_TABLE = "i"
+for _ in range(8):
+    _CRC_TABLE = f"list_transform({_CRC_TABLE}, lambda c: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+_CRC_TABLE = _CRC_TABLE.replace("(i,", "(range(256),")
+
 SQL: dict[str, str] = {
+    "op11_periodic_runs": f"""
+        WITH crc AS (SELECT {_CRC_TABLE} AS t),
+        docs AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                   xor(4294967295, list_reduce(
+                       [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')],
+                       lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), 4294967295::BIGINT)) AS h
+            FROM documents, crc
+        ), words AS MATERIALIZED (
+            SELECT doc_id, i, CASE WHEN h % 10 = 0 AND i >= a
+                                   THEN w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] ELSE w[i + 1] END AS word, n
+            FROM (SELECT doc_id, w, h, h // 10 AS g, len(w) AS n, (h // 10) % len(w) AS a, unnest(range(len(w))) AS i
+                  FROM docs WHERE len(w) > 0)
+        ), matches AS (
+            SELECT x.doc_id, x.i, x.i - y.i AS q FROM words x JOIN words y
+              ON x.doc_id = y.doc_id AND x.word = y.word AND y.i < x.i AND 4 * (x.i - y.i) <= x.n
+        ), diagonals AS (
+            SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matches)
+            GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS MATERIALIZED (
+            SELECT doc_id, start, length, min(q) AS period FROM diagonals GROUP BY doc_id, start, length
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words
+            WHERE (doc_id, i) NOT IN (SELECT (doc_id, unnest(range(start + period, start + length))) FROM runs)
+            GROUP BY doc_id
+        ), told AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS text
+            FROM runs GROUP BY doc_id
+        ), longest AS (
+            SELECT *, length * 1000 // period AS exponent_milli,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS place
+            FROM runs
+        )
+        SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, exponent_milli,
+               sha256(coalesce(told.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM docs d LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+        LEFT JOIN (FROM longest WHERE place = 1) USING (doc_id)
+    """,
     "op9_maxscore": """
         WITH vectors AS (
             SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
