@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amity.llm import centroids
 from amity.llm.bpe import decode_documents, encode_documents
 from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.html import extract
@@ -16,7 +17,7 @@ from amity.llm.periods import periodic_runs
 from amity.llm.pii import KINDS, sanitise
 from amity.llm.simhash import near_duplicates
 from amity.llm.suffixes import remove_repeats
-from amity.llm.tables import table
+from amity.llm.tables import shared_table, table
 from amity.llm.toxicity import fit, score_documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -160,6 +161,28 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Centroids, rounds and components of the clustering.
+CENTROIDS, ROUNDS, DIMS = 40, 5, 64
+
+
+def op12_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    whole = vectors.select("vec_id", integer_components(F.col("embedding")).alias("vector"))
+    # Every round reads the whole numbers again, so they are written once.
+    rows = shared_table(centroids.usable(whole, DIMS))
+    order = F.sha2(F.concat(F.lit("2:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
+    start = centroids.first_centroids(rows, CENTROIDS, order)
+    found = centroids.cluster(rows, centroids.fit_centroids(rows, start, ROUNDS))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -172,6 +195,7 @@ QUERIES = {
     "op9_maxscore": op9_maxscore,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_orchard": op12_orchard,
 }
 
 #: CRC-32 in SQL: the table of its polynomial by rule, then one look-up for each byte of the text.
@@ -180,7 +204,42 @@ for _ in range(8):
     _CRC_TABLE = f"list_transform({_CRC_TABLE}, lambda c: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
 _CRC_TABLE = _CRC_TABLE.replace("(i,", "(range(256),")
 
+def _rounds_sql() -> str:
+    """``a0`` … are the assignments to the centroids ``c0`` …, ``c{i + 1}`` the means of ``a{i}``."""
+    out = ""
+    for i in range(ROUNDS + 1):
+        if i:
+            out += f"""
+        c{i} AS MATERIALIZED (
+            SELECT c, coalesce(mean, v) AS v FROM c{i - 1} LEFT JOIN (
+                SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY d)::BIGINT[] AS mean
+                FROM (SELECT c, d, sum(v[d]) AS s, count(*) AS n FROM a{i - 1}, range(1, {DIMS + 1}) t(d) GROUP BY c, d)
+                GROUP BY c) USING (c)
+        ),"""
+        out += f"""
+        a{i} AS MATERIALIZED (
+            SELECT vec_id, v, found[1] AS distance, found[2] AS c
+            FROM (SELECT x.vec_id, any_value(x.v) AS v, min([list_sum(
+                      [(x.v[d] - y.v[d]) * (x.v[d] - y.v[d]) FOR d IN range(1, {DIMS + 1})])::BIGINT, y.c]) AS found
+                  FROM vectors x, c{i} y GROUP BY x.vec_id)
+        ),"""
+    return out.rstrip(",")
+
+
 SQL: dict[str, str] = {
+    "op12_orchard": f"""
+        WITH vectors AS MATERIALIZED (
+            SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE len(embedding) = {DIMS} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v
+            FROM vectors ORDER BY sha256('2:' || vec_id) LIMIT {CENTROIDS}
+        ),{_rounds_sql()}
+        SELECT vec_id, c::INT AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+               sum(distance) OVER ()::BIGINT AS inertia, sha256(list_aggregate(y.v, 'string_agg', ',')) AS centroid_sha256
+        FROM a{ROUNDS} JOIN c{ROUNDS} y USING (c)
+    """,
     "op11_periodic_runs": f"""
         WITH crc AS (SELECT {_CRC_TABLE} AS t),
         docs AS MATERIALIZED (
