@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,7 +163,7 @@ def periodic_runs(
 
     def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         start = held = 0
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(place)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
         for i, n in enumerate(sizes):
             if i > start and held + n > HELD_BYTES:
                 yield batch.slice(start, i - start)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from amity.llm import centroids
 from amity.llm.bpe import decode_documents, encode_documents
+from amity.llm.crosspolytope import neighbours
 from amity.llm.fingerprints import edited_fingerprints
 from amity.llm.html import extract
 from amity.llm.lines import dedupe_lines
@@ -183,6 +184,11 @@ def op12_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -196,6 +202,7 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_orchard": op12_orchard,
+    "op13_cross_polytope": op13_cross_polytope,
 }
 
 #: CRC-32 in SQL: the table of its polynomial by rule, then one look-up for each byte of the text.
