@@ -13,11 +13,11 @@ true neighbours among all rows are found, and for each the promise of its most p
 of ``RECALL`` of these has to reach the threshold. All rows found are ranked by their exact inner product. A query that
 finds fewer than asked for is searched again, in all buckets of a table, which hold all rows.
 
-Rows and queries meet by bucket. Buckets are dealt to cells of about ``CELL_ROWS`` rows. A larger
-bucket is cut by row into several, each of which its queries visit; a cell with very many queries
-gets them in parts. So no task holds more than about one cell and one part of queries, however the
-rows lie. Which buckets and cells are that large is written to the shared folder and joined by the
-size of the file.
+Rows and queries meet by bucket. Buckets are dealt to cells of about ``CELL_ROWS`` rows, and a query
+goes once to each cell that has one of its buckets. A cell with a large bucket is cut by row, and its
+queries visit all cuts; one with very many queries gets them in parts. So no task holds more than
+about one cell and one part of queries, however the rows lie. Which cells are that large is written
+to the shared folder and joined by the size of the file.
 """
 
 from __future__ import annotations
@@ -237,20 +237,43 @@ def fit_threshold(rows: DataFrame, queries: DataFrame, hashes: CrossPolytope, k:
     return float(promise[int((1 - RECALL) * len(promise))]) if len(promise) else -np.inf
 
 
-def _row_codes(batches: Iterator[pa.RecordBatch], hashes: CrossPolytope, whole: bool) -> Iterator[pa.RecordBatch]:
+def _cell(codes: np.ndarray, cells: int) -> np.ndarray:
+    """The cell of each bucket; multiplied, as neighbouring buckets may be alike in size."""
+    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(cells)
+
+
+def _row_codes(batches: Iterator[pa.RecordBatch], hashes: CrossPolytope, cells: int) -> Iterator[pa.RecordBatch]:
+    """Rows with the buckets, and the buckets' cells, that they lie in."""
     for batch in batches:
-        if batch.num_rows:
-            codes = hashes.codes(_matrix(batch.column("v"), hashes.width))
-            columns = {"codes": pa.array(list(codes), pa.list_(pa.int64()))}
-            yield pa.RecordBatch.from_pydict(({"id": batch.column("id"), "v": batch.column("v")} if whole else {}) | columns)
+        codes = hashes.codes(_matrix(batch.column("v"), hashes.width)) if batch.num_rows else np.zeros((0, hashes.tables), np.int64)
+        places = pa.StructArray.from_arrays(
+            [pa.array(codes.ravel()), pa.array(_cell(codes, cells).astype(np.int32).ravel())], ["code", "cell"]
+        )
+        offsets = pa.array(np.arange(len(codes) + 1, dtype=np.int32) * hashes.tables)
+        yield pa.RecordBatch.from_pydict(dict(zip(batch.schema.names, batch.columns, strict=True)) | {"places": pa.ListArray.from_arrays(offsets, places)})
 
 
-def _query_codes(batches: Iterator[pa.RecordBatch], hashes: CrossPolytope, threshold: float) -> Iterator[pa.RecordBatch]:
+def _query_codes(
+    batches: Iterator[pa.RecordBatch], hashes: CrossPolytope, threshold: float, cells: int
+) -> Iterator[pa.RecordBatch]:
+    """A row for each query and cell, with the buckets that the query probes there."""
     for batch in batches:
         for start in range(0, batch.num_rows, 1024):
             part = batch.slice(start, 1024)
-            codes = hashes.probes(_matrix(part.column("v"), hashes.width), threshold)
-            yield pa.RecordBatch.from_pydict({"id": part.column("id"), "v": part.column("v"), "codes": pa.array(codes, pa.list_(pa.int64()))})
+            owner, cell_of, codes = [], [], []
+            for i, probed in enumerate(hashes.probes(_matrix(part.column("v"), hashes.width), threshold)):
+                there = _cell(probed, cells)
+                order = np.argsort(there, kind="stable")
+                cell, first = np.unique(there[order], return_index=True)
+                owner += [i] * len(cell)
+                cell_of.append(cell.astype(np.int32))
+                codes += np.split(probed[order], first[1:])
+            yield pa.RecordBatch.from_pydict({
+                "id": part.column("id").take(pa.array(owner)),
+                "v": part.column("v").take(pa.array(owner)),
+                "cell": pa.array(np.concatenate(cell_of)),
+                "codes": pa.array(codes, pa.list_(pa.int64())),
+            })
 
 
 def _search_cell(rows: pa.Table, asked: pa.Table, width: int, k: int) -> pa.Table:
@@ -282,47 +305,41 @@ def _search_cell(rows: pa.Table, asked: pa.Table, width: int, k: int) -> pa.Tabl
 
 def _search(rows: DataFrame, queries: DataFrame, hashes: CrossPolytope, threshold: float, n_rows: int, k: int) -> DataFrame:
     kind = dict(rows.dtypes)["v"]
-    coded = partial(_row_codes, hashes=hashes)
-    code_only = rows.select("v").mapInArrow(partial(coded, whole=False), "codes array<bigint>")
-    large = F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("cuts")
-    sizes = code_only.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
-    hot = shared_table(sizes.where(F.col("n") > CELL_ROWS).select("code", large))
     cells = max(1, -(-hashes.tables * n_rows // CELL_ROWS))
-
-    def cell(cut: Column) -> Column:
-        return F.pmod(F.xxhash64("code", cut), F.lit(cells)).cast("int").alias("cell")
-
-    probing = queries.mapInArrow(
-        partial(_query_codes, hashes=hashes, threshold=threshold), f"id bigint, v {kind}, codes array<bigint>"
+    place = partial(_row_codes, hashes=hashes, cells=cells)
+    places = "places array<struct<code:bigint,cell:int>>"
+    dealt = rows.mapInArrow(place, f"id bigint, v {kind}, {places}").select("id", "v", F.inline("places"))
+    asked = queries.mapInArrow(
+        partial(_query_codes, hashes=hashes, threshold=threshold, cells=cells),
+        f"id bigint, v {kind}, cell int, codes array<bigint>",
     )
-    cuts = F.coalesce("cuts", F.lit(1))
-    asked = (
-        probing.select("id", "v", F.explode("codes").alias("code"))
-        .join(hot, "code", "left")
-        .select("id", "v", "code", F.explode(F.sequence(F.lit(0), cuts - 1)).alias("cut"))
-        .groupBy("id", "v", cell(F.col("cut")))
-        .agg(F.collect_set("code").alias("codes"))
-    )
-    crowd = F.ceil(F.col("n") / CELL_QUERIES).cast("int").alias("crowd")
-    visits = asked.groupBy("cell").agg(F.count("*").alias("n"))
-    crowded = shared_table(visits.where(F.col("n") > CELL_QUERIES).select("cell", crowd))
-    crowds = F.coalesce("crowd", F.lit(1))
-    dealt = (
-        rows.mapInArrow(partial(coded, whole=True), f"id bigint, v {kind}, codes array<bigint>")
-        .select("id", "v", F.explode("codes").alias("code"))
-        .join(hot, "code", "left")
-        .select("id", "v", "code", cell(F.pmod(F.xxhash64("id"), cuts).cast("int")))
-        .join(crowded, "cell", "left")
-        .select("cell", F.explode(F.sequence(F.lit(0), crowds - 1)).alias("part"), "id", "v", "code")
-    )
-    asked = asked.join(crowded, "cell", "left").select(
-        "cell", F.pmod(F.xxhash64("id", F.lit(1)), crowds).cast("int").alias("part"), "id", "v", "codes"
+    # Cells with more than their share of rows or of queries are cut into a grid of both.
+    counted = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("m")).unionByName(
+        asked.groupBy("cell").agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("m"))
+    ).groupBy("cell").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    grid = shared_table(
+        counted.select(
+            "cell",
+            F.greatest(F.ceil(F.col("n") / (2 * CELL_ROWS)), F.lit(1)).cast("int").alias("cuts"),
+            F.greatest(F.ceil(F.col("m") / CELL_QUERIES), F.lit(1)).cast("int").alias("crowds"),
+        ).where("cuts > 1 OR crowds > 1")
     )
+    cuts, crowds = F.coalesce("cuts", F.lit(1)), F.coalesce("crowds", F.lit(1))
+
+    def every(n: Column, name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1)).alias(name)
+
+    def one_of(n: Column, name: str) -> Column:
+        return F.pmod(F.xxhash64("id"), n).cast("int").alias(name)
+
+    keys = ["cell", "cut", "crowd"]
+    dealt = dealt.join(grid, "cell", "left").select("cell", one_of(cuts, "cut"), every(crowds, "crowd"), "id", "v", "code")
+    asked = asked.join(grid, "cell", "left").select("cell", every(cuts, "cut"), one_of(crowds, "crowd"), "id", "v", "codes")
 
     def search(some: pa.Table, wanted: pa.Table) -> pa.Table:
         return _search_cell(some, wanted, hashes.width, k)
 
-    found = dealt.groupBy("cell", "part").cogroup(asked.groupBy("cell", "part")).applyInArrow(search, FOUND)
+    found = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, FOUND)
     # A row that a query finds in several tables has the same rank each time.
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.dense_rank().over(ranked)).where(F.col("rank") <= k)
