@@ -1,4 +1,10 @@
-from amity.operators.accesses import access_stats, top_pages, visits_per_page
+from amity.operators.accesses import (
+    access_stats,
+    merged_access_stats,
+    page_bitmaps,
+    top_pages,
+    visits_per_page,
+)
 from amity.operators.activity import inactive_users, inactive_users_minutes, latest_access
 from amity.operators.friends import (
     owners_visiting_no_friend,
@@ -9,7 +15,14 @@ from amity.operators.friends import (
 )
 from amity.operators.ordering import ordered
 from amity.operators.popularity import owner_degree_profiles, owner_degrees, popularity_labels
-from amity.operators.quality import contract_violations, record_quality, row_counts
+from amity.operators.quality import (
+    contract_violations,
+    observed_quality,
+    record_quality,
+    rejected_records,
+    routed_records,
+    row_counts,
+)
 from amity.operators.users import (
     users_by_nationality,
     users_per_country_code,
@@ -22,15 +35,20 @@ __all__ = [
     "inactive_users",
     "inactive_users_minutes",
     "latest_access",
+    "merged_access_stats",
+    "observed_quality",
     "ordered",
     "owner_degree_profiles",
     "owner_degrees",
     "owners_visiting_no_friend",
     "owners_visiting_no_friend_merged",
     "owners_with_unvisited_friend",
+    "page_bitmaps",
     "popularity_labels",
     "record_quality",
+    "rejected_records",
     "relationship_counts",
+    "routed_records",
     "row_counts",
     "top_pages",
     "unvisited_friend_pairs",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,42 @@ def top_pages(
     return report if with_count else report.drop("n")
 
 
+def page_bitmaps(logs: DataFrame) -> DataFrame:
+    """``ByWho, word, visits, pages``: for each visitor and run of 64 pages the number of visits, and
+    which of the pages they were to, as a bitmap.
+
+    A word holds as many pages as fit a number, so the rows are never more than those by
+    (visitor, page), one number wider, and up to 64 times fewer; both aggregates merge map-side.
+    Unreadable pages are in the word NULL, with visits and no bitmap. Tables of this form add up:
+    see ``merged_access_stats``.
+    """
+    page = F.expr("shiftleft(1L, cast(WhatPage & 63 as int))")
+    return (
+        logs.where(F.col("ByWho").isNotNull())
+        .groupBy("ByWho", F.shiftright("WhatPage", 6).alias("word"))
+        .agg(F.count("*").alias("visits"), F.bit_or(page).alias("pages"))
+    )
+
+
+def _stats(bitmaps: DataFrame) -> DataFrame:
+    """From one row for each visitor and word."""
+    return bitmaps.groupBy("ByWho").agg(
+        F.sum("visits").alias("total"),
+        F.coalesce(F.sum(F.bit_count("pages").cast("bigint")), F.lit(0)).alias("distinct_pages"),
+    )
+
+
+def merged_access_stats(*bitmaps: DataFrame) -> DataFrame:
+    """The same as ``access_stats`` of all the accesses that the tables of ``page_bitmaps`` are from.
+
+    A distinct count cannot be added up, its bitmaps can: a day's accesses become
+    one table, and any days together are counted exactly without reading an access again.
+    """
+    both = reduce(DataFrame.unionByName, bitmaps)
+    merged = both.groupBy("ByWho", "word").agg(F.sum("visits").alias("visits"), F.bit_or("pages").alias("pages"))
+    return _stats(merged)
+
+
 def access_stats(
     logs: DataFrame, formatted: bool = False, order_key: str | None = None
 ) -> DataFrame:
@@ -48,17 +86,11 @@ def access_stats(
 
     An access of an unreadable page counts in the total, but is no distinct page.
 
-    Rows are counted per (visitor, page) first, so a visitor with a third of all
+    Accesses become bitmaps per (visitor, run of pages) first, so a visitor with a third of all
     accesses is spread over the tasks by page, and what reaches the second
     grouping is one row per visitor and task.
     """
-    stats = (
-        logs.where(F.col("ByWho").isNotNull())
-        .groupBy("ByWho", "WhatPage")
-        .agg(F.count("*").alias("visits"))
-        .groupBy("ByWho")
-        .agg(F.sum("visits").alias("total"), F.count("WhatPage").alias("distinct_pages"))
-    )
+    stats = _stats(page_bitmaps(logs))
     if formatted:
         stats = stats.select(
             "ByWho", access_summary(F.col("total"), F.col("distinct_pages")).alias("summary")

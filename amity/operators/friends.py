@@ -36,54 +36,95 @@ def relationship_counts(users: DataFrame, associates: DataFrame) -> DataFrame:
     )
 
 
-def _marked(df: DataFrame, a: str, b: str, mark: Column) -> DataFrame:
-    return df.select(F.col(a).alias("PersonA_ID"), F.col(b).alias("PersonB_ID"), mark.alias("mark"))
+def _once(marked: DataFrame) -> DataFrame:
+    return marked.groupBy("PersonA_ID", "PersonB_ID").agg(F.bit_or("mark").alias("mark"))
 
 
-def _once(marked: DataFrame) -> DataFrame:
-    """Pairs with an unreadable end are left out last, as the grouping leaves few of them."""
-    pair = ["PersonA_ID", "PersonB_ID"]
-    both = F.count_if(F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull())
-    grouped = marked.groupBy(*pair).agg(F.bit_or("mark").alias("mark"), both.alias("known"))
-    return grouped.where(F.col("known") > 0).drop("known")
+#: Bits of a sieve, whatever the number of friendships: 1 MiB.
+SIEVE_BITS = 1 << 23
+
+
+def _place(a: Column, b: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(a, b), F.lit(bits))
+
+
+def pair_sieve(pairs: DataFrame, a: str, b: str, bits: int = SIEVE_BITS) -> DataFrame:
+    """One row with one array ``sieve`` of ``bits`` bits, 64 a number: those that pairs hash to are set.
+
+    Pairs are merged map-side to at most ``bits / 64`` numbers a task, and these in one task: its
+    work and the array's size depend on ``bits`` alone. With more pairs than bits the sieve lets
+    nearly everything through, which costs its test and changes no result.
+    """
+    place = pairs.select(_place(F.col(a), F.col(b), bits).alias("place"))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = place.groupBy(F.shiftright("place", 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("set"))
+    zeros = pairs.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("set"))
+    whole = words.unionByName(zeros).groupBy("word").agg(F.bit_or("set").alias("set"))
+    in_order = F.array_sort(F.collect_list(F.struct("word", "set")))
+    return whole.agg(F.transform(in_order, lambda w: w["set"]).alias("sieve"))
+
+
+def _sieved(visits: DataFrame, friends: DataFrame, bits: int) -> DataFrame:
+    """The visits that may match a friendship. Equal pairs hash alike, so no match is lost."""
+    sieve = pair_sieve(friends, "PersonA_ID", "PersonB_ID", bits).scalar()
+    place = _place(F.col("PersonA_ID"), F.col("PersonB_ID"), bits)
+    # The bit wanted is moved to the lowest place.
+    word = F.get(sieve, F.shiftright(place, 6).cast("int"))
+    return visits.where(F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
 
 
-def marked_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:
-    """Every pair that is a friendship, a visit or both, once, with its bits.
+def marked_pairs(associates: DataFrame, logs: DataFrame, sieve_bits: int | None = None) -> DataFrame:
+    """Every friendship once, with its bits; also visits that are no friendship, with their own.
 
     One grouping stands in for "distinct friendships" joined to "distinct
     visits": a single shuffle on both columns, no sort, and equal pairs are
     merged map-side, so neither an owner with very many friends nor a visit
-    repeated very often ends up in one task.
+    repeated very often ends up in one task. Friendships with an unreadable end
+    are left out; such visits match none.
+
+    With ``sieve_bits`` the friendships are read once more before, into a set of so many bits, and
+    visits whose pair is not in it are not shuffled. That is for visits that
+    outnumber the friendships by far; it changes no friendship's bits.
     """
-    friends = _marked(associates, "PersonA_ID", "PersonB_ID", F.lit(FRIEND))
-    visits = _marked(logs, "ByWho", "WhatPage", F.lit(VISITED))
-    return _once(friends.unionByName(visits))
+    known = F.col("PersonA_ID").isNotNull() & F.col("PersonB_ID").isNotNull()
+    friends = associates.where(known).select("PersonA_ID", "PersonB_ID")
+    visits = logs.select(F.col("ByWho").alias("PersonA_ID"), F.col("WhatPage").alias("PersonB_ID"))
+    if sieve_bits is not None:
+        visits = _sieved(visits, friends, sieve_bits)
+    marked = friends.withColumn("mark", F.lit(FRIEND)).unionByName(visits.withColumn("mark", F.lit(VISITED)))
+    return _once(marked)
 
 
-def marked_pairs_merged(lines: DataFrame) -> DataFrame:
-    """The same from one file of friendships (3 fields) and accesses (5), read once.
+def marked_pairs_merged(lines: DataFrame, is_friendship: Column | None = None) -> DataFrame:
+    """The same from mixed lines, read once; both kinds hold the pair in their second and third field.
 
-    Both kinds of line hold the pair in their second and third field.
+    ``is_friendship`` as in ``tagged_merged``.
     """
-    records = tagged_merged(lines)
+    records = tagged_merged(lines, is_friendship)
     mark = F.when(F.col("kind") == FRIENDSHIP, FRIEND).otherwise(VISITED)
-    ends = records.select(parse_long(F.col("ByWho")).alias("a"), parse_long(F.col("WhatPage")).alias("b"), mark.alias("mark"))
-    return _once(_marked(ends, "a", "b", F.col("mark")))
+    ends = records.select(
+        parse_long(F.col("ByWho")).alias("PersonA_ID"), parse_long(F.col("WhatPage")).alias("PersonB_ID"), mark.alias("mark")
+    )
+    # Unreadable ends are left out after the grouping, where they are few: a test before would parse again.
+    known = F.count_if(F.col("PersonA_ID").isNotNull() & F.col("PersonB_ID").isNotNull())
+    grouped = ends.groupBy("PersonA_ID", "PersonB_ID").agg(F.bit_or("mark").alias("mark"), known.alias("known"))
+    return grouped.where(F.col("known") > 0).drop("known")
 
 
-def unvisited_friend_pairs(associates: DataFrame, logs: DataFrame) -> DataFrame:
+def unvisited_friend_pairs(associates: DataFrame, logs: DataFrame, sieve_bits: int | None = None) -> DataFrame:
     """Friendships (A, B) where A never visited B's page."""
     return (
-        marked_pairs(associates, logs)
+        marked_pairs(associates, logs, sieve_bits)
         .where(F.col("mark") == FRIEND)
         .select("PersonA_ID", "PersonB_ID")
     )
 
 
-def owners_with_unvisited_friend(associates: DataFrame, logs: DataFrame) -> DataFrame:
+def owners_with_unvisited_friend(
+    associates: DataFrame, logs: DataFrame, sieve_bits: int | None = None
+) -> DataFrame:
     """Owners with at least one friend whose page they never visited."""
-    return unvisited_friend_pairs(associates, logs).select("PersonA_ID").distinct()
+    return unvisited_friend_pairs(associates, logs, sieve_bits).select("PersonA_ID").distinct()
 
 
 def _without_visited_friend(pairs: DataFrame) -> DataFrame:
@@ -97,10 +138,12 @@ def _without_visited_friend(pairs: DataFrame) -> DataFrame:
     )
 
 
-def owners_visiting_no_friend(associates: DataFrame, logs: DataFrame) -> DataFrame:
+def owners_visiting_no_friend(
+    associates: DataFrame, logs: DataFrame, sieve_bits: int | None = None
+) -> DataFrame:
     """Owners who have friends and visited the page of none of them."""
-    return _without_visited_friend(marked_pairs(associates, logs))
+    return _without_visited_friend(marked_pairs(associates, logs, sieve_bits))
 
 
-def owners_visiting_no_friend_merged(lines: DataFrame) -> DataFrame:
-    return _without_visited_friend(marked_pairs_merged(lines))
+def owners_visiting_no_friend_merged(lines: DataFrame, is_friendship: Column | None = None) -> DataFrame:
+    return _without_visited_friend(marked_pairs_merged(lines, is_friendship))

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from amity import operators as ops
 from amity import sinks, sources
 from amity.functions import field_count, minutes_cutoff, split_fields
-from amity.operators.friends import NEVER_ACCESSED_PAGE
+from amity.operators.friends import NEVER_ACCESSED_PAGE, SIEVE_BITS
 from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
 from amity.sources import views as v
 
@@ -125,6 +125,29 @@ _register(
        FROM {access_logs} GROUP BY "ByWho" """,
 )
 
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of bitmaps for each kind of visit, as of days, then all of them together."""
+    visits = v.part_visits(spark, sf_dir)
+    kinds = [F.col("TypeOfAccess") == "A", F.col("TypeOfAccess") == "N"]
+    kinds.append(~F.coalesce(kinds[0] | kinds[1], F.lit(False)))
+    return ops.merged_access_stats(*[ops.page_bitmaps(visits.where(k)) for k in kinds])
+
+
+_register(
+    "access_stats_rolled_up",
+    _rolled_up,
+    """SELECT "ByWho", count(*) AS total, count(DISTINCT "WhatPage") AS distinct_pages
+       FROM {part_visits} GROUP BY "ByWho" """,
+)
+_register(
+    "page_bitmaps",
+    lambda s, d: ops.page_bitmaps(v.access_logs(s, d)),
+    """SELECT "ByWho", "WhatPage" // 64 AS word, count(*) AS visits, bit_or(CASE "WhatPage" % 64 WHEN 63 THEN (-9223372036854775808)::BIGINT ELSE 1::BIGINT << ("WhatPage" % 64) END) AS pages
+       FROM (SELECT "ByWho", "WhatPage" FROM {access_logs}) GROUP BY 1, 2""",
+)
+
 # Friendships
 
 _RELATIONSHIP_COUNTS = """
@@ -170,6 +193,16 @@ for _suffix, _view, _graph in [
         lambda s, d, g=_view: ops.owners_visiting_no_friend(g(s, d), v.access_logs(s, d)),
         _VISITING_NONE.replace("{graph}", _graph),
     )
+    _register(
+        f"unvisited_friend_pairs_sieved{_suffix}",
+        lambda s, d, g=_view: ops.unvisited_friend_pairs(g(s, d), v.access_logs(s, d), SIEVE_BITS),
+        _UNVISITED_PAIRS.replace("{graph}", _graph),
+    )
+    _register(
+        f"owners_visiting_no_friend_sieved{_suffix}",
+        lambda s, d, g=_view: ops.owners_visiting_no_friend(g(s, d), v.access_logs(s, d), SIEVE_BITS),
+        _VISITING_NONE.replace("{graph}", _graph),
+    )
     _register(
         f"owner_degree_profiles{_suffix}",
         lambda s, d, g=_view: ops.owner_degree_profiles(g(s, d), v.users(s, d)),
@@ -310,6 +343,34 @@ _register(
     """,
 )
 
+_FIRST_BAD = " ".join(f"WHEN ({_long_sql(i)}) IS NULL THEN '{c}'" for i, c in [(1, "AccessId"), (2, "ByWho"), (3, "WhatPage"), (5, "AccessTime")])
+_REASON = f"CASE WHEN {_N_FIELDS} <> 5 THEN 'wrong number of fields' {_FIRST_BAD} END"
+_register(
+    "rejected_records",
+    lambda s, d: ops.rejected_records(v.raw_lines(s, d), ACCESS_LOGS, sources.EXACTLY_5),
+    f"""SELECT value AS line, CAST({_N_FIELDS} AS INTEGER) AS n_fields, {_REASON} AS reason
+        FROM {{raw_lines}} WHERE {_REASON} IS NOT NULL""",
+)
+_register(
+    "accepted_records",
+    lambda s, d: ops.routed_records(v.raw_lines(s, d), ACCESS_LOGS, sources.EXACTLY_5)
+    .where("reason IS NULL")
+    .select("record.*"),
+    f"""SELECT {_long_sql(1)} AS "AccessId", {_long_sql(2)} AS "ByWho", {_long_sql(3)} AS "WhatPage",
+               {_field_sql(4)} AS "TypeOfAccess", {_long_sql(5)} AS "AccessTime"
+        FROM {{raw_lines}} WHERE {_REASON} IS NULL""",
+)
+_register(
+    "access_stats_observed",
+    lambda s, d: ops.access_stats(
+        sources.typed(
+            ops.observed_quality(sources.raw_from_lines(v.raw_lines(s, d), ACCESS_LOGS))[0], ACCESS_LOGS, sources.EXACTLY_5
+        )
+    ),
+    f"""SELECT {_long_sql(2)} AS "ByWho", count(*) AS total, count(DISTINCT {_long_sql(3)}) AS distinct_pages
+        FROM {{raw_lines}} WHERE {_N_FIELDS} = 5 AND ({_long_sql(2)}) IS NOT NULL GROUP BY 1""",
+)
+
 # Delimited text in
 
 
@@ -361,6 +422,29 @@ _register(
     _VISITING_NONE.replace("{graph}", "{associates}"),
 )
 
+# Whole friendships among accesses, told apart by the file that a line is from.
+_OF_FRIENDS = F.col("file").startswith("lineitem")
+
+
+def _split_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.split_merged(v.merged_file_lines(spark, sf_dir), _OF_FRIENDS).select("kind", "friendship.*", "access.*")
+
+
+_register(
+    "split_merged_by_file",
+    _split_by_file,
+    """SELECT 'friendship' AS kind, "FriendRel", "PersonA_ID", "PersonB_ID",
+              CAST(CAST("DateofFriendship" AS DATE) - DATE '1970-01-01' AS INTEGER) AS "DateofFriendship", "Desc",
+              NULL::BIGINT AS "AccessId", NULL::BIGINT AS "ByWho", NULL::BIGINT AS "WhatPage",
+              NULL::VARCHAR AS "TypeOfAccess", NULL::BIGINT AS "AccessTime" FROM {associates}
+       UNION ALL SELECT 'access', NULL, NULL, NULL, NULL, NULL, * FROM {access_logs_millis}""",
+)
+_register(
+    "owners_visiting_no_friend_by_file",
+    lambda s, d: ops.owners_visiting_no_friend_merged(v.merged_file_lines(s, d), _OF_FRIENDS),
+    _VISITING_NONE.replace("{graph}", "{associates}"),
+)
+
 # Tables as lines, through the readers' parser and types.
 
 
@@ -372,15 +456,10 @@ def _reread(table: Query, schema: StructType, fields: sources.Fields) -> Query:
     return query
 
 
-def _dated_associates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.unix_date(F.col("DateofFriendship").cast("date"))
-    return v.associates(spark, sf_dir).withColumn("DateofFriendship", day)
-
-
 _register("read_users", _reread(v.users, USERS, sources.AT_LEAST_5), "SELECT * FROM {users}")
 _register(
     "read_associates",
-    _reread(_dated_associates, ASSOCIATES, sources.AT_LEAST_3),
+    _reread(v.dated_associates, ASSOCIATES, sources.AT_LEAST_3),
     """SELECT * REPLACE (CAST(CAST("DateofFriendship" AS DATE) - DATE '1970-01-01' AS INTEGER)
                          AS "DateofFriendship") FROM {associates}""",
 )

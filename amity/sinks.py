@@ -15,8 +15,8 @@ def lines(df: DataFrame, sep: str = "\t", value_sep: str | None = None) -> DataF
     key, *rest = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
     if not rest:
         return df.select(key.alias("value"))
-    values = F.concat_ws(sep if value_sep is None else value_sep, *rest)
-    return df.select(F.concat_ws(sep, key, values).alias("value"))
+    values = rest if value_sep is None else [F.concat_ws(value_sep, *rest)]
+    return df.select(F.concat_ws(sep, key, *values).alias("value"))
 
 
 def write_text(

@@ -8,6 +8,7 @@ from amity.sources.delimited import (
     raw_from_lines,
     read_access_logs,
     read_associates,
+    read_merged_lines,
     read_raw,
     read_users,
     split_merged,
@@ -25,6 +26,7 @@ __all__ = [
     "raw_from_lines",
     "read_access_logs",
     "read_associates",
+    "read_merged_lines",
     "read_raw",
     "read_users",
     "split_merged",

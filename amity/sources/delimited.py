@@ -4,10 +4,8 @@ Files are read as lines, and each line is split once, which gives its fields and
 their number together. Fields are text until the record-shape test is done, so
 that a bad value in a column nobody asked for cannot remove a row.
 
-A quote opens a field only at the field's start. Regular lines with quotes go
-through the CSV parser; a line that is not regular (a quote never closed, or
-inside a field, or another number of fields than columns) is split by one pattern
-that takes an unclosed quote as text.
+A quote opens a field only at the field's start. Lines with quotes are split by
+one pattern, which takes a quote that is never closed, or stands inside a field, as text.
 """
 
 from __future__ import annotations
@@ -39,54 +37,44 @@ AT_LEAST_5 = Fields(5)
 EXACTLY_5 = Fields(5, 5)
 
 
-# A field in quotes, and the whole of a line of such and plain fields.
-_QUOTED = r'"(?:[^"]++|"")*+"'
-REGULAR = rf'^(?:{_QUOTED}|[^",]*+)(?:,(?:{_QUOTED}|[^",]*+))*+$'
-# One field of any line, behind a comma.
-FIELD = rf',(?:{_QUOTED}[^,]*+|[^,]*+)'
-OPENED = r'^,"((?:[^"]++|"")*+)"([^,]*+)$'
+# A field behind a comma: in quotes with what follows them, or plain.
+_FIELD = r',(?:"((?:[^"]++|"")*+)"([^,]*+)|([^,]*+))'
+# Marks that no line can hold, as each begins with a line feed: before a field, and around the content of quotes.
+_MARKED = "\n,\n($1\n)$2$3"
+# A doubled quote within the marks, and what stands before it since the mark or the one before.
+_DOUBLED = r'(?:(\n\([^\n"]*+)|\G(?!\A)([^\n"]*+))""'
 
 
-def raw_from_lines(lines: DataFrame, table: T.StructType) -> DataFrame:
-    """Text columns of ``table`` and ``n_fields`` from a column ``value`` of lines.
+def raw_from_lines(lines: DataFrame, table: T.StructType, *keep: str) -> DataFrame:
+    """Text columns of ``table`` and ``n_fields`` from a column ``value`` of lines, beside the
+    columns ``keep``.
 
     Empty fields at the end of a line do not count. ``explode`` of one element
     keeps later filters on the fields from being pushed below the split, where
     each of them would split the line again.
     """
     names = table.fieldNames()
-    fields = lines.select(F.explode(F.array(fields_of(F.col("value"), len(names)))).alias("f"))
+    fields = lines.select(*keep, F.explode(F.array(fields_of(F.col("value")))).alias("f"))
     return fields.select(
-        *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)], F.size("f").alias("n_fields")
+        *keep, *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)], F.size("f").alias("n_fields")
     )
 
 
-def fields_of(line: Column, width: int) -> Column:
-    """The fields of a line, which mostly has ``width`` of them."""
-    text = ", ".join(f"_{i} string" for i in range(width))
-    record = F.when(
-        F.rlike(line, F.lit(REGULAR)),
-        F.from_csv(line, f"{text}, bad string", {"escape": '"', "columnNameOfCorruptRecord": "bad"}),
-    )
-    columns = F.array(*[F.coalesce(record[f"_{i}"], F.lit("")) for i in range(width)])
-    of_record = F.when(record.isNotNull() & record["bad"].isNull() & (record[f"_{width - 1}"] != ""), columns)
-    quoted = F.coalesce(of_record, _irregular(line))
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(split_fields(line))
-
+def fields_of(line: Column) -> Column:
+    """The fields of a line. Most have no quote and are split at their commas."""
+    return F.when(~F.contains(line, F.lit('"')), split_fields(line)).otherwise(_quoted_fields(line))
 
-def _irregular(line: Column) -> Column:
-    """Any line, split by pattern. What follows a closing quote belongs to its field."""
 
-    def content(field: Column) -> Column:
-        inner = F.replace(F.regexp_extract(field, OPENED, 1), F.lit('""'), F.lit('"'))
-        closed = F.concat(inner, F.regexp_extract(field, OPENED, 2))
-        plain = F.substring(field, F.lit(2), F.char_length(field))
-        return F.when(F.rlike(field, F.lit(OPENED)), closed).otherwise(plain)
+def _quoted_fields(line: Column) -> Column:
+    """Any line, split by pattern. What follows a closing quote belongs to its field.
 
-    fields = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD), F.lit(0)), content)
-    filled = F.array_position(F.transform(F.reverse(fields), lambda f: f != ""), True)
-    n = F.when(filled > 0, F.size(fields) - filled + 1).otherwise(1)
-    return F.slice(fields, F.lit(1), n.cast("int"))
+    All of it is text replacement, which Spark compiles with the rest of the stage; a
+    function over the array of fields would keep the whole split, plain lines included, out of that.
+    """
+    marked = F.regexp_replace(F.concat(F.lit(","), line), _FIELD, _MARKED)
+    single = F.when(F.contains(line, F.lit('""')), F.regexp_replace(marked, _DOUBLED, '$1$2"')).otherwise(marked)
+    filled = F.regexp_replace(F.regexp_replace(single, r"\n[()]", ""), r"(?:\n,)++$", "")
+    return F.split(F.substring(filled, 3, 2**31 - 1), r"\n,")
 
 
 def read_raw(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
@@ -100,10 +88,10 @@ def typed(raw: DataFrame, table: T.StructType, fields: Fields) -> DataFrame:
     kept = raw.where(F.col("n_fields") >= fields.at_least)
     if fields.at_most is not None:
         kept = kept.where(F.col("n_fields") <= fields.at_most)
-    return kept.select(*_typed_columns(table, [F.col(f"`{f.name}`") for f in table]))
+    return kept.select(*typed_columns(table, [F.col(f"`{f.name}`") for f in table]))
 
 
-def _typed_columns(table: T.StructType, columns: list[Column]) -> list[Column]:
+def typed_columns(table: T.StructType, columns: list[Column]) -> list[Column]:
     return [
         (
             trim_controls(c) if isinstance(f.dataType, T.StringType) else parse_long(c, f.dataType.simpleString())
@@ -132,29 +120,46 @@ def _is_data(first: Column, name: str) -> Column:
 FRIENDSHIP, ACCESS = "friendship", "access"
 
 
-def tagged_merged(lines: DataFrame) -> DataFrame:
-    """The records of one file of friendships (3 fields) and accesses (5), as text, with ``kind``.
+def tagged_merged(lines: DataFrame, is_friendship: Column | None = None) -> DataFrame:
+    """The records of mixed lines of friendships and accesses, as text, with ``kind``.
 
-    ``lines`` has one column ``value``, as ``spark.read.text`` gives it. Every line
+    ``lines`` has the lines in its column ``value``, as ``spark.read.text`` gives them. Every line
     is split once. A friendship has its ends in the second and third column, named
-    as those of an access. Header lines of either table are left out. A friendship
-    with all its five columns cannot be told from an access.
+    as those of an access. Header lines of either table are left out.
+
+    Without more, a friendship has 3 fields and an access 5, and a friendship with all its five
+    columns cannot be told from an access. ``is_friendship``, a condition on the other columns of
+    ``lines`` such as the name of the file a line came from, tells them apart by provenance; then
+    a friendship has 3 fields or more, and an access 5.
     """
-    raw = raw_from_lines(lines, ACCESS_LOGS)
+    names = [*ACCESS_LOGS.fieldNames(), "n_fields"]
+    if is_friendship is None:
+        raw = raw_from_lines(lines, ACCESS_LOGS)
+        kind = F.when(F.col("n_fields") == 3, FRIENDSHIP).when(F.col("n_fields") == 5, ACCESS)
+    else:
+        told = lines.select("value", F.coalesce(is_friendship, F.lit(False)).alias("_friend"))
+        raw = raw_from_lines(told, ACCESS_LOGS, "_friend")
+        enough = F.when(F.col("_friend"), F.col("n_fields") >= 3).otherwise(F.col("n_fields") == 5)
+        kind = F.when(enough, F.when(F.col("_friend"), FRIENDSHIP).otherwise(ACCESS))
     first = F.col(ACCESS_LOGS.fieldNames()[0])
     data = _is_data(first, ACCESS_LOGS.fieldNames()[0]) & _is_data(first, ASSOCIATES.fieldNames()[0])
-    kind = F.when(F.col("n_fields") == 3, FRIENDSHIP).when(F.col("n_fields") == 5, ACCESS)
-    return raw.where(F.col("n_fields").isin(3, 5) & data).withColumn("kind", kind)
+    return raw.select(*names, kind.alias("kind")).where(F.col("kind").isNotNull() & data)
+
+
+def read_merged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of mixed files, each with the name of its ``file``."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
 
 
-def split_merged(lines: DataFrame) -> DataFrame:
-    """Friendships and accesses out of one file of mixed lines, read once: ``kind``, and a typed
-    record in ``friendship`` or ``access``."""
-    friends = T.StructType(ASSOCIATES.fields[:3])
-    raw = tagged_merged(lines)
+def split_merged(lines: DataFrame, is_friendship: Column | None = None) -> DataFrame:
+    """Friendships and accesses out of mixed lines, read once: ``kind``, and a typed record in
+    ``friendship`` or ``access``. ``is_friendship`` as in ``tagged_merged``; with it a friendship
+    has its date and description too, where its line has them."""
+    friends = ASSOCIATES if is_friendship is not None else T.StructType(ASSOCIATES.fields[:3])
+    raw = tagged_merged(lines, is_friendship)
     names = raw.columns
-    friendship = F.struct(*_typed_columns(friends, [F.col(c) for c in names[: len(friends)]]))
-    access = F.struct(*_typed_columns(ACCESS_LOGS, [F.col(c) for c in names[: len(ACCESS_LOGS)]]))
+    friendship = F.struct(*typed_columns(friends, [F.col(c) for c in names[: len(friends)]]))
+    access = F.struct(*typed_columns(ACCESS_LOGS, [F.col(c) for c in names[: len(ACCESS_LOGS)]]))
     return raw.select(
         "kind",
         F.when(F.col("kind") == FRIENDSHIP, friendship).alias(FRIENDSHIP),

@@ -195,6 +195,27 @@ def merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.lines(friends, sep=",").unionByName(access_lines(spark, sf_dir))
 
 
+def dated_associates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Friendships with the date as a number of days."""
+    day = F.unix_date(F.col("DateofFriendship").cast("date"))
+    return associates(spark, sf_dir).withColumn("DateofFriendship", day)
+
+
+def merged_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole friendships and accesses, both lines of five fields, with the name of their file."""
+    file = F.col("_metadata.file_name")
+    folder = "element_at(split(_metadata.file_path, '/'), -2)"
+    # A table that is a folder gives its files other names.
+    of = F.when(F.expr(folder).endswith(".parquet"), F.expr(folder)).otherwise(file).alias("file")
+
+    def named(table: DataFrame) -> DataFrame:
+        columns = table.columns
+        fields = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
+        return table.select(fields.alias("value"), of)
+
+    return named(dated_associates(spark, sf_dir)).unionByName(named(access_logs_millis(spark, sf_dir)))
+
+
 # Users as lines whose names hold a comma and quotes.
 def quoted_user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     doubled = F.concat(F.lit('"'), F.col("Name"), F.lit(', ""'), F.col("Hobby"), F.lit('"""'))
