@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from amity import generate
 from amity.functions.time import INACTIVITY_DAYS, INACTIVITY_MILLIS
-from amity.operators import contract_violations, record_quality, row_counts
+from amity.operators import contract_violations, record_quality, routed_records, row_counts
 from amity.plans import tasks
 from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
 from amity.sinks import write_table, write_text
-from amity.sources import read_access_logs, read_associates, read_raw, read_users
+from amity.sources import EXACTLY_5, read_access_logs, read_associates, read_raw, read_users
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,10 +38,18 @@ def _parser() -> argparse.ArgumentParser:
     command("task-d", "users", "associates", alternative=True)
     command("task-e", "logs", alternative=True)
     command("task-f", "associates", "logs")
-    command("task-f-alternative", "merged")
+    command("task-f-alternative", "merged").add_argument(
+        "--friend-files", help="pattern of the names of files that hold friendships"
+    )
     task_g = command("task-g", "logs")
     task_g.add_argument("--as-of", type=int, required=True)
     task_g.add_argument("--window", type=int, default=INACTIVITY_MILLIS)
+    outputs = commands.add_parser("task-g-outputs")
+    outputs.add_argument("--logs", required=True)
+    outputs.add_argument("--out", required=True)
+    outputs.add_argument("--as-of", type=int, required=True)
+    outputs.add_argument("--window", type=int, default=INACTIVITY_MILLIS)
+    command("rejected", "logs")
     minutes = command("task-g-minutes", "logs")
     minutes.add_argument("--now", type=float, required=True, help="epoch seconds")
     minutes.add_argument("--days", type=float, default=INACTIVITY_DAYS)
@@ -72,6 +82,19 @@ def quality(spark: SparkSession, users: str, associates: str, logs: str, out: st
     write_text(contract_violations(*tables.values()), out, name="violations")
 
 
+def rejected(spark: SparkSession, logs: str, out: str) -> None:
+    """Lines of the accesses that are no whole record, header lines left out, with the reason."""
+    name = ACCESS_LOGS.fieldNames()[0]
+    routed = routed_records(spark.read.text(logs), ACCESS_LOGS, EXACTLY_5)
+    bad = routed.where(F.col("reason").isNotNull() & ~F.col("line").startswith(f"{name},"))
+    write_text(bad.select("reason", "n_fields", "line"), out)
+
+
+def task_g_outputs(spark: SparkSession, **options: str | int) -> None:
+    """Prints how many records were read and could not be used."""
+    print(json.dumps(tasks.task_g_outputs(spark, **options)))
+
+
 def generate_tables(
     spark: SparkSession, out: str, n_users: int, n_associates: int, n_logs: int, seed: int
 ) -> None:
@@ -92,6 +115,8 @@ COMMANDS = {
     "task-f-alternative": tasks.task_f_alternative,
     "task-g": tasks.task_g,
     "task-g-minutes": tasks.task_g_minutes,
+    "task-g-outputs": task_g_outputs,
+    "rejected": rejected,
     "task-h": tasks.task_h,
     "quality": quality,
     "generate": generate_tables,

@@ -40,37 +40,32 @@ def _once(marked: DataFrame) -> DataFrame:
     return marked.groupBy("PersonA_ID", "PersonB_ID").agg(F.bit_or("mark").alias("mark"))
 
 
-#: Bits of a sieve, whatever the number of friendships: 1 MiB.
+#: Bits of a sieve, whatever the number of friendships: 1 MiB, 131,072 rows.
 SIEVE_BITS = 1 << 23
 
 
-def _place(a: Column, b: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(a, b), F.lit(bits))
+def _with_place(pairs: DataFrame, bits: int) -> DataFrame:
+    place = F.pmod(F.xxhash64("PersonA_ID", "PersonB_ID"), F.lit(bits))
+    return pairs.withColumns({"word": F.shiftright(place, 6), "bit": (place % 64).cast("int")})
 
 
-def pair_sieve(pairs: DataFrame, a: str, b: str, bits: int = SIEVE_BITS) -> DataFrame:
-    """One row with one array ``sieve`` of ``bits`` bits, 64 a number: those that pairs hash to are set.
+def pair_sieve(pairs: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
+    """``word, set``: of ``bits`` bits, 64 a row, those that the pairs (PersonA_ID, PersonB_ID) hash to.
 
-    Pairs are merged map-side to at most ``bits / 64`` numbers a task, and these in one task: its
-    work and the array's size depend on ``bits`` alone. With more pairs than bits the sieve lets
-    nearly everything through, which costs its test and changes no result.
+    Pairs are merged map-side, so a task sends at most ``bits / 64`` rows, and no more are the result,
+    however many pairs there are. With more pairs than bits the sieve lets nearly
+    everything through, which costs its test and changes no result.
     """
-    place = pairs.select(_place(F.col(a), F.col(b), bits).alias("place"))
-    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    words = place.groupBy(F.shiftright("place", 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("set"))
-    zeros = pairs.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("set"))
-    whole = words.unionByName(zeros).groupBy("word").agg(F.bit_or("set").alias("set"))
-    in_order = F.array_sort(F.collect_list(F.struct("word", "set")))
-    return whole.agg(F.transform(in_order, lambda w: w["set"]).alias("sieve"))
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
+    return _with_place(pairs, bits).groupBy("word").agg(F.bit_or(set_bit).alias("set"))
 
 
 def _sieved(visits: DataFrame, friends: DataFrame, bits: int) -> DataFrame:
     """The visits that may match a friendship. Equal pairs hash alike, so no match is lost."""
-    sieve = pair_sieve(friends, "PersonA_ID", "PersonB_ID", bits).scalar()
-    place = _place(F.col("PersonA_ID"), F.col("PersonB_ID"), bits)
-    # The bit wanted is moved to the lowest place.
-    word = F.get(sieve, F.shiftright(place, 6).cast("int"))
-    return visits.where(F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    # At most bits / 64 rows of two numbers.
+    sieve = F.broadcast(pair_sieve(friends, bits))
+    is_set = F.call_function("shiftright", F.col("set"), F.col("bit")).bitwiseAND(F.lit(1)) == 1
+    return _with_place(visits, bits).join(sieve, "word").where(is_set).select(*visits.columns)
 
 
 def marked_pairs(associates: DataFrame, logs: DataFrame, sieve_bits: int | None = None) -> DataFrame:

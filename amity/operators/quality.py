@@ -52,7 +52,7 @@ def routed_records(lines: DataFrame, table: T.StructType, fields: Fields) -> Dat
     if fields.at_most is not None:
         shaped &= F.col("n_fields") <= fields.at_most
     record = F.struct(*typed_columns(table, [F.col(f"`{c}`") for c in table.fieldNames()]))
-    reason = F.when(~shaped, WRONG_ARITY)
+    reason = F.when(shaped, None).otherwise(WRONG_ARITY)  # a NULL line has no fields
     # ``explode`` keeps the numbers from being read again for their test.
     routed = raw.select("line", "n_fields", reason.alias("shape"), F.explode(F.array(record)).alias("record"))
     unreadable = [

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from amity import layouts, sinks, sources
 from amity import operators as ops
-from amity import sinks, sources
 from amity.functions import field_count, minutes_cutoff, split_fields
 from amity.operators.friends import NEVER_ACCESSED_PAGE, SIEVE_BITS
 from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
@@ -212,6 +213,46 @@ for _suffix, _view, _graph in [
         """.replace("{graph}", _graph),
     )
 
+# Users as stored tables. The stores are written anew, under names of their own.
+
+
+def _store(spark: SparkSession, sf_dir: str, store: Callable[[DataFrame, str], DataFrame]) -> str:
+    name = f"amity_users_{uuid4().hex}"
+    store(v.users(spark, sf_dir), name)
+    return name
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.table(_store(spark, sf_dir, lambda df, name: layouts.store_bucketed(df, name, "ID", buckets)))
+
+
+_register(
+    "relationship_counts_bucketed",
+    lambda s, d: ops.relationship_counts(_bucketed(s, d), v.associates(s, d)),
+    _RELATIONSHIP_COUNTS.replace("{graph}", "{associates}"),
+)
+_register(
+    "popularity_labels_bucketed",
+    lambda s, d: ops.popularity_labels(v.associates(s, d), users=_bucketed(s, d)),
+    """SELECT "ID" AS owner,
+              CASE WHEN count("PersonA_ID") > 1 THEN 'More Popular'
+                   ELSE 'Not More Popular' END AS label
+       FROM {users} LEFT JOIN {associates} ON "ID" = "PersonA_ID" GROUP BY "ID" """,
+)
+
+
+def _of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _store(spark, sf_dir, layouts.store_by_nationality)
+    return ops.users_by_nationality(layouts.users_of(spark, stored, "nation_7", True), "nation_7", ignore_case=True)
+
+
+_register(
+    "users_by_nationality_partitioned",
+    _of_nation,
+    """SELECT "Name", "Hobby" FROM {users} WHERE lower("Nationality") = 'nation_7'""",
+)
+
 # Popularity
 
 _register(
@@ -423,11 +464,12 @@ _register(
 )
 
 # Whole friendships among accesses, told apart by the file that a line is from.
-_OF_FRIENDS = F.col("file").startswith("lineitem")
+def _of_friends() -> Column:
+    return F.col("file").startswith("lineitem")
 
 
 def _split_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.split_merged(v.merged_file_lines(spark, sf_dir), _OF_FRIENDS).select("kind", "friendship.*", "access.*")
+    return sources.split_merged(v.merged_file_lines(spark, sf_dir), _of_friends()).select("kind", "friendship.*", "access.*")
 
 
 _register(
@@ -441,7 +483,7 @@ _register(
 )
 _register(
     "owners_visiting_no_friend_by_file",
-    lambda s, d: ops.owners_visiting_no_friend_merged(v.merged_file_lines(s, d), _OF_FRIENDS),
+    lambda s, d: ops.owners_visiting_no_friend_merged(v.merged_file_lines(s, d), _of_friends()),
     _VISITING_NONE.replace("{graph}", "{associates}"),
 )
 

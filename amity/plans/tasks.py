@@ -16,7 +16,8 @@ from amity import operators as ops
 from amity.functions.time import INACTIVITY_DAYS, INACTIVITY_MILLIS, minutes_cutoff
 from amity.operators.friends import NEVER_ACCESSED, NEVER_ACCESSED_PAGE
 from amity.operators.ordering import ordered
-from amity.sinks import write_text
+from amity.schemas import ACCESS_LOGS
+from amity.sinks import write_outputs, write_text
 from amity.sources import (
     AT_LEAST_3,
     AT_LEAST_5,
@@ -24,7 +25,10 @@ from amity.sources import (
     Fields,
     read_access_logs,
     read_associates,
+    read_merged_lines,
+    read_raw,
     read_users,
+    typed,
 )
 
 
@@ -100,10 +104,15 @@ def task_f(
 
 
 def task_f_alternative(
-    spark: SparkSession, merged: str, out: str, order: str | None = None
+    spark: SparkSession, merged: str, out: str, friend_files: str | None = None, order: str | None = None
 ) -> None:
-    """Owners who visited no friend at all, from one file of friendships and accesses."""
-    owners = ops.owners_visiting_no_friend_merged(spark.read.text(merged))
+    """Owners who visited no friend at all, from files of friendships and accesses.
+
+    ``friend_files`` is a pattern of the names of the files that hold friendships, which may have all
+    their columns then; the other files hold accesses.
+    """
+    of_friends = None if friend_files is None else F.col("file").rlike(friend_files)
+    owners = ops.owners_visiting_no_friend_merged(read_merged_lines(spark, merged), of_friends)
     _write(owners.select("PersonA_ID", F.lit(NEVER_ACCESSED)), out, order)
 
 
@@ -120,6 +129,23 @@ def task_g(
     _write(ops.inactive_users(accesses, as_of, window), out, order, name="inactivePersons")
 
 
+def task_g_outputs(
+    spark: SparkSession, logs: str, out: str, as_of: int, window: int = INACTIVITY_MILLIS
+) -> dict[str, int]:
+    """Main and named output of one job, and what it met on the way, from one read of the accesses.
+
+    ``out/run=<as_of>/output=main`` has every visitor's last access, ``output=inactivePersons`` those
+    not seen for longer than the window. Returned are the counts of ``record_quality``.
+    """
+    raw, counts = ops.observed_quality(read_raw(spark, logs, ACCESS_LOGS))
+    last = ops.latest_access(typed(raw, ACCESS_LOGS, EXACTLY_5))
+    gone = F.lit(as_of) - F.col("last") > F.lit(window)
+    outputs = F.when(gone, F.array(F.lit("main"), F.lit("inactivePersons"))).otherwise(F.array(F.lit("main")))
+    rows = last.select("ByWho", "last", F.explode(outputs).alias("output"))
+    write_outputs(rows.withColumn("last", F.when(F.col("output") == "main", F.col("last"))), out, str(as_of))
+    return counts.get
+
+
 def task_g_minutes(
     spark: SparkSession,
     logs: str,

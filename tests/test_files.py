@@ -10,7 +10,7 @@ from amity import generate, sinks
 from amity.__main__ import main
 from amity.plans import tasks
 from amity.schemas import USERS
-from amity.sources import read_access_logs, read_associates, read_users
+from amity.sources import read_access_logs, read_associates, read_merged_lines, read_users, split_merged
 
 
 def text(path):
@@ -190,3 +190,73 @@ class TestTasks:
 def test_quality_counts_rows_of_any_shape(spark, files, out):
     main(["quality", f"--users={files['users']}", f"--associates={files['associates']}", f"--logs={files['logs']}", f"--out={out}"])
     assert sorted(text(f"{out}/rows")) == ["access_logs\t6", "associates\t4", "users\t4"]
+
+
+class TestOutputs:
+    def test_one_write_for_all_outputs(self, spark, out):
+        df = spark.createDataFrame(
+            [(1, "a", None, ["main", "x"]), (2, None, None, ["main"]), (3, "b", 4, ["x"]), (4, "c", 5, []), (None, None, None, ["x"])],
+            "k int, v string, w int, output array<string>",
+        )
+        sinks.write_outputs(df, out, "1", value_sep=",")
+        assert sorted(text(f"{out}/run=1/output=main")) == ["1\ta", "2"]
+        assert sorted(text(f"{out}/run=1/output=x")) == ["", "1\ta", "3\tb,4"]
+
+    def test_a_rerun_replaces_its_own_part(self, spark, out):
+        df = spark.createDataFrame([(1, "main"), (2, "gone")], "k int, output string")
+        sinks.write_outputs(df, out, "1")
+        sinks.write_outputs(df, out, "2")
+        sinks.write_outputs(df.where("k = 1"), out, "1")
+        assert glob.glob(f"{out}/run=1/output=gone") == [], "nothing is left of an output that is empty now"
+        assert text(f"{out}/run=1/output=main") == ["1"] and text(f"{out}/run=2/output=gone") == ["2"]
+
+    def test_task_g(self, spark, files, out):
+        counts = tasks.task_g_outputs(spark, files["logs"], out, as_of=7_776_000_100)
+        assert counts == {"rows": 6, "wrong_arity": 2, "invalid_time": 1}
+        assert sorted(text(f"{out}/run=7776000100/output=main")) == ["1\t7776000100", "10\t99"]
+        assert text(f"{out}/run=7776000100/output=inactivePersons") == ["10"]
+        tasks.task_g_outputs(spark, files["logs"], out, as_of=50)
+        tasks.task_g_outputs(spark, files["logs"], out, as_of=7_776_000_100, window=10**12)
+        assert sorted(p.rsplit("/", 2)[1:] for p in glob.glob(f"{out}/run=*/output=*")) == [
+            ["run=50", "output=main"], ["run=7776000100", "output=main"],
+        ]
+
+    def test_command_line(self, spark, files, out, capsys):
+        main(["task-g-outputs", f"--logs={files['logs']}", "--as-of", "7776000100", f"--out={out}/g"])
+        assert '{"rows": 6, "wrong_arity": 2, "invalid_time": 1}' in capsys.readouterr().out
+        main(["rejected", f"--logs={files['logs']}", f"--out={out}/bad"])
+        assert sorted(text(f"{out}/bad")) == [
+            "AccessTime\t5\t4,9,4,Poked,abc", "wrong number of fields\t3\t5,9,4", "wrong number of fields\t6\t6,2,8,Poked,100,more",
+        ]
+
+
+class TestMixedFiles:
+    """Friendships with all their five columns beside accesses."""
+
+    @pytest.fixture
+    def mixed(self, tmp_path):
+        folder = tmp_path / "mixed"
+        folder.mkdir()
+        (folder / "friends-1.csv").write_text(
+            "FriendRel,PersonA_ID,PersonB_ID,DateofFriendship,Desc\n1,1,2,5,Family\n2,1,3,5,Family\n3,2,3,5,Friend\n4,2\n5,4,1\n"
+        )
+        (folder / "accesses-1.csv").write_text(
+            "AccessId,ByWho,WhatPage,TypeOfAccess,AccessTime\n1,1,2,Viewed,100\n2,9,4,Poked,99\n3,2,3\n4,4,1,Poked\n"
+        )
+        return str(folder)
+
+    def test_told_by_file(self, spark, mixed, rows):
+        lines = read_merged_lines(spark, mixed)
+        got = split_merged(lines, lines.file.startswith("friends"))
+        assert rows(got.where("kind = 'friendship'").select("friendship.*")) == [
+            (1, 1, 2, 5, "Family"), (2, 1, 3, 5, "Family"), (3, 2, 3, 5, "Friend"), (5, 4, 1, None, None),
+        ]
+        assert rows(got.where("kind = 'access'").select("access.*")) == [(1, 1, 2, "Viewed", 100), (2, 9, 4, "Poked", 99)]
+        # By the number of fields they are taken for accesses.
+        assert split_merged(lines).where("kind = 'friendship'").count() == 2
+
+    def test_owners(self, spark, mixed, out):
+        tasks.task_f_alternative(spark, mixed, out, friend_files="^friends-")
+        assert sorted(text(out)) == ["2\tNever Accessed", "4\tNever Accessed"]
+        main(["task-f-alternative", f"--merged={mixed}", "--friend-files", "friends", f"--out={out}2"])
+        assert sorted(text(f"{out}2")) == sorted(text(out))

@@ -1,5 +1,6 @@
 """Edge cases on hand-made rows."""
 
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amity import operators as ops
+from amity import sources
 from amity.functions import minutes_cutoff
 from amity.functions.time import INACTIVITY_MILLIS
 from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
@@ -309,3 +311,92 @@ def test_a_zone_needs_a_zoned_column(spark):
     zoned = logs.withColumn("AccessTime", F.to_timestamp(F.lit("2024-01-31T00:00:00Z")))
     assert ops.inactive_users(zoned, at, timedelta(hours=1)).count() == 0
     assert ops.inactive_users(zoned, at + timedelta(hours=2), timedelta(hours=1)).count() == 1
+
+
+class TestBitmaps:
+    VISITS = [(1, 5), (1, 5), (1, 63), (1, 64), (1, None), (1, -1), (1, -64), (1, -65), (2, 2**62), (2, 0), (3, None), (None, 4)]
+
+    def logs(self, spark, visits):
+        return spark.createDataFrame([(*v, "kept out") for v in visits], "ByWho long, WhatPage long, visits string")
+
+    def test_every_page_has_a_bit_of_its_own(self, spark, rows):
+        pages = [*range(-200, 200), 2**62, 2**62 + 1, -(2**63), 2**63 - 1]
+        logs = self.logs(spark, [(1, p) for p in pages] * 2)
+        assert rows(ops.access_stats(logs)) == [(1, 2 * len(pages), len(pages))]
+
+    def test_unreadable_pages_and_visitors(self, spark, rows):
+        assert rows(ops.access_stats(self.logs(spark, self.VISITS))) == [(1, 8, 6), (2, 2, 2), (3, 1, 0)]
+
+    def test_tables_add_up(self, spark, rows):
+        """However the accesses are dealt to days, and with a day that has none."""
+        whole = rows(ops.access_stats(self.logs(spark, self.VISITS * 3)))
+        for n in (1, 2, 5):
+            days = [self.logs(spark, (self.VISITS * 3)[i::n]) for i in range(n)] + [self.logs(spark, [])]
+            assert rows(ops.merged_access_stats(*[ops.page_bitmaps(d) for d in days])) == whole
+
+    def test_no_accesses(self, spark):
+        assert ops.access_stats(self.logs(spark, [])).count() == 0
+
+
+class TestSieve:
+    @pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 20])
+    def test_a_sieve_changes_no_result(self, spark, rows, bits):
+        rng = random.Random(bits)
+        pair = lambda: (rng.choice([None, *range(30)]), rng.randrange(30))
+        friends = spark.createDataFrame([pair() for _ in range(300)], "PersonA_ID long, PersonB_ID long")
+        logs = spark.createDataFrame([pair()[::-1] for _ in range(900)], "ByWho long, WhatPage long")
+        for question in (ops.unvisited_friend_pairs, ops.owners_with_unvisited_friend, ops.owners_visiting_no_friend):
+            assert rows(question(friends, logs, sieve_bits=bits)) == rows(question(friends, logs))
+
+    def test_no_friendships(self, spark):
+        friends = spark.createDataFrame([], "PersonA_ID long, PersonB_ID long")
+        logs = spark.createDataFrame([(1, 2)], "ByWho long, WhatPage long")
+        assert ops.unvisited_friend_pairs(friends, logs, sieve_bits=64).count() == 0
+
+    def test_visits_without_friendship_stop(self, spark):
+        from amity.operators.friends import _sieved
+
+        friends = spark.createDataFrame([(i, i + 1) for i in range(100)], "PersonA_ID long, PersonB_ID long")
+        visits = spark.createDataFrame([(i, i + 1 + j) for i in range(200) for j in range(100)], "PersonA_ID long, PersonB_ID long")
+        left = _sieved(visits, friends, 1 << 16)
+        assert left.join(friends, ["PersonA_ID", "PersonB_ID"]).count() == 100 and left.count() < 200
+
+
+class TestRoutedRecords:
+    LINES = [
+        "1,2,3,Poked,5", "1,2,3,Poked", "1,2,3,Poked,5,6", "", "x,2,3,Poked,5", "1,y,z,Poked,5", "1,2,3,,x",
+        '1,2,3,"a,b",5', '1,2,3,"a,b,5', " 1 , 2 ,3, Poked ,5", "1,2,3,,5", None,
+    ]
+
+    def lines(self, spark):
+        return spark.createDataFrame([(x, 7) for x in self.LINES], "value string, line int")
+
+    def test_every_line_has_one_way(self, spark):
+        got = ops.routed_records(self.lines(spark), ACCESS_LOGS, sources.EXACTLY_5).collect()
+        arity = "wrong number of fields"
+        assert {r["line"]: (r["n_fields"], r["reason"]) for r in got} == {
+            "1,2,3,Poked,5": (5, None), "1,2,3,Poked": (4, arity), "1,2,3,Poked,5,6": (6, arity), "": (1, arity),
+            "x,2,3,Poked,5": (5, "AccessId"), "1,y,z,Poked,5": (5, "ByWho"), "1,2,3,,x": (5, "AccessTime"),
+            '1,2,3,"a,b",5': (5, None), '1,2,3,"a,b,5': (6, arity), " 1 , 2 ,3, Poked ,5": (5, None), "1,2,3,,5": (5, None),
+            None: (None, arity),
+        }
+        assert len(got) == len(self.LINES)
+
+    def test_rejected_and_accepted_are_all(self, spark, rows):
+        lines = self.lines(spark)
+        bad = ops.rejected_records(lines, ACCESS_LOGS, sources.EXACTLY_5)
+        assert bad.columns == ["line", "n_fields", "reason"]
+        good = ops.routed_records(lines, ACCESS_LOGS, sources.EXACTLY_5).where("reason IS NULL").select("record.*")
+        assert rows(good) == [(1, 2, 3, "", 5), (1, 2, 3, "Poked", 5), (1, 2, 3, "Poked", 5), (1, 2, 3, "a,b", 5)]
+        assert bad.count() + good.count() == len(self.LINES)
+
+
+def test_quality_comes_with_the_answer(spark, rows):
+    lines = spark.createDataFrame([(x,) for x in ["1,2,3,Poked,5", "2,2,4,Poked,x", "3,2", "4,3,3,Poked,9"]], "value string")
+    raw = sources.raw_from_lines(lines, ACCESS_LOGS)
+    seen, counts = ops.observed_quality(raw)
+    df = ops.access_stats(sources.typed(seen, ACCESS_LOGS, sources.EXACTLY_5))
+    assert rows(df) == [(2, 2, 2), (3, 1, 1)]
+    assert (counts.get,) == tuple(r.asDict() for r in ops.record_quality(raw).collect())
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan ExistingRDD") == 1

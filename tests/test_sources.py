@@ -1,11 +1,14 @@
 """Record shape, trimming, bad numbers, and files as they come."""
 
+import random
+
 import pytest
 
 from amity import sources
 from amity.operators import record_quality
 from amity.schemas import ACCESS_LOGS, ASSOCIATES, USERS
 from amity.sources import AT_LEAST_3, AT_LEAST_5, EXACTLY_5, Fields
+from amity.sources.delimited import fields_of
 
 USER_LINES = [
     "ID,Name,Nationality,CountryCod,Hobby",
@@ -142,3 +145,36 @@ class TestLines:
         assert rows(split.where("kind = 'access'").select("access.*")) == [(1, 1, 2, "Viewed", 9)]
         plan = split._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Generate explode") == 1
+
+
+def plain_fields(line):
+    """Character by character: a field in quotes up to the quote that is not doubled, else up to the comma."""
+    fields, i = [], 0
+    while True:
+        field, end = "", i
+        if line[i : i + 1] == '"':
+            j = i + 1
+            while j < len(line) and (line[j] != '"' or line[j : j + 2] == '""'):
+                field += line[j]
+                j += 2 if line[j] == '"' else 1
+            end = j + 1 if j < len(line) else None
+        if end is None:  # never closed: text
+            field, end = "", i
+        comma = line.find(",", end)
+        field += line[end : comma if comma >= 0 else None]
+        fields.append(field)
+        if comma < 0:
+            break
+        i = comma + 1
+    while len(fields) > 1 and not fields[-1]:
+        fields.pop()
+    return fields
+
+
+def test_fields_of_any_line(spark):
+    rng = random.Random(4)
+    lines = ["".join(rng.choice(['"', '""', ",", ',"', '",', "a", "(", ")", "$1", "\\", " "]) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = df.select("value", fields_of(df.value).alias("fields")).collect()
+    for value, fields in got:
+        assert fields == plain_fields(value), value
