@@ -17,6 +17,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from itertools import chain
 
 import pyarrow as pa
@@ -130,7 +131,7 @@ _loaded: dict[bytes, TreeEncoder] = {}
 
 def _encoder(raw: bytes) -> TreeEncoder:
     """One encoder a worker and vocabulary."""
-    key = raw[:64] + len(raw).to_bytes(8, "big")
+    key = blake2b(raw).digest()
     if key not in _loaded:
         _loaded[key] = TreeEncoder(read_ranks(raw))
     return _loaded[key]

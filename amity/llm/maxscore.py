@@ -59,7 +59,7 @@ def search_shard(
         # The threshold starts as the k-th best of the rows that lead on the heaviest terms.
         head = order[:8]
         lead = q[head] @ postings[head]
-        lead[own] = np.iinfo(np.int64).min
+        lead[own] = np.iinfo(np.int64).min + 1  # its negative is a number too
         first = np.argpartition(-lead, keep - 1)[:keep] if keep < len(lead) else np.arange(len(lead))
         first = first[~own[first]]
         threshold = (rows[first] @ q - least.sum()).min() if len(first) >= keep else 0

@@ -145,8 +145,10 @@ def mix(
     id_col: str = "doc_id",
     text: str = "text",
     total: float | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``id_col, n_tokens, posterior, rate`` and ``copies`` for each row of ``docs``.
+    """``id_col``, the columns ``keep``, ``n_tokens, posterior, rate`` and ``copies`` for each row of
+    ``docs``.
 
     ``labelled`` has the id and a ``domain``; ``weights`` are the wanted shares of
     tokens. ``copies`` is the rate as a whole number, the fraction settled by the
@@ -158,11 +160,11 @@ def mix(
     whole = F.coalesce(F.col(text), F.lit(""))
     draw = F.pmod(F.xxhash64(F.col(id_col), whole, F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
     measured = docs.select(
-        id_col, token_count(whole).alias("n_tokens"), draw.alias("draw"), *(c.alias(m) for m, c in measures(whole).items())
+        id_col, *keep, token_count(whole).alias("n_tokens"), draw.alias("draw"), *(c.alias(m) for m, c in measures(whole).items())
     )
     # Numbers only; the texts are read once.
     measured = shared_table(measured)
     found = posteriors(measured, labelled, id_col, domains)
-    rated = fit_rates(shared_table(found.select(id_col, "n_tokens", "draw", "posterior")), list(weights.values()), total)
+    rated = fit_rates(shared_table(found.select(id_col, *keep, "n_tokens", "draw", "posterior")), list(weights.values()), total)
     copies = F.floor("rate") + (F.col("draw") < F.col("rate") - F.floor("rate")).cast("int")
-    return rated.select(id_col, "n_tokens", "posterior", "rate", copies.cast("int").alias("copies"))
+    return rated.select(id_col, *keep, "n_tokens", "posterior", "rate", copies.cast("int").alias("copies"))

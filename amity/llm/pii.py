@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amity.llm.tables import shared_table
+from amity.llm.tables import pack, shared_table, unpack
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -187,9 +187,13 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     of kind ``term`` by start; a term ends where a fixed form begins. Fixed
     forms and general terms are replaced by their kind in brackets, revealing
     terms are removed. NULL texts count as empty and have no spans; equal rows
-    stay, each with its spans.
+    stay, each with its spans. Other columns stay, whatever their names, but for ``spans`` and
+    ``sanitised``, which are replaced.
     """
-    rows = docs.drop("spans", "sanitised", "key").withColumn("whole", F.coalesce(F.col(text), F.lit("")))
+    if {"key", "whole", "terms"} & set(docs.columns):  # this function's own names
+        others = docs.drop("spans", "sanitised")
+        return unpack(sanitise(pack(others, text), text), others.columns, "spans", "sanitised")
+    rows = docs.drop("spans", "sanitised").withColumn("whole", F.coalesce(F.col(text), F.lit("")))
     based = rows.withColumn("spans", base_spans(F.col("whole"))).withColumn(
         "key", F.concat(F.hex(F.xxhash64("whole")), F.hex(F.xxhash64(F.lit(1), F.col("whole"))))
     )

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from amity.llm.tables import shared_table
+from amity.llm.tables import pack, shared_table, unpack
 
 LENGTH = 100
 GRAM = 32
@@ -463,9 +463,14 @@ def remove_repeats(
     Earlier is a smaller id, NULL last, then the text's hash, then the start; rows equal
     in id and text are one document and get the same result. NULL counts as the
     empty text; texts under ``LENGTH`` bytes lose nothing. What is kept may cut a
-    character in two, so it is binary.
+    character in two, so it is binary. Other columns stay, whatever their names, but
+    for the four named here, which are replaced.
     """
-    source = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
+    made = ["kept", "n_bytes", "n_removed", "n_spans"]
+    source = docs.drop(*made)
+    if {"spans", "row_of_text"} & set(source.columns):  # this function's own names
+        found = remove_repeats(pack(source, id_col, text), id_col, text, hot)
+        return unpack(found, [c for c in source.columns if c != text], *made)
     whole = F.coalesce(F.col(text), F.lit(""))
     row = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), whole)
     rows = source.select(

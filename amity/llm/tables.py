@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,3 +36,24 @@ def shared_table(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+PACKED = "other columns"
+
+
+def pack(docs: DataFrame, *plain: str) -> DataFrame:
+    """The columns ``plain``, and all others within one struct, where their names clash with nothing."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in plain]
+    # A struct needs a field; this one is longer than any column's name.
+    filled = F.lit(0).alias("_" * (1 + max(map(len, docs.columns))))
+    return docs.select(*plain, F.struct(*others, filled).alias(PACKED))
+
+
+def unpack(packed: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    """``columns`` again, from the struct or beside it, then ``more``."""
+    inside = packed.schema[PACKED].dataType.names
+
+    def column(name: str) -> Column:
+        return F.col(f"`{PACKED}`").getField(name).alias(name) if name in inside else F.col(f"`{name}`")
+
+    return packed.select(*[column(c) for c in columns if c not in more], *more)

@@ -47,3 +47,18 @@ def test_documents(spark):
     assert [r.ids for r in rows] == [PLAIN.encode_ordinary(t or "") for t in texts]
     assert [bytes(r.decoded).decode() for r in rows] == [t or "" for t in texts]
     assert encode_documents(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_vocabularies_that_begin_alike():
+    """Of the same length, with the same first bytes, and other ranks at the end."""
+    from base64 import b64encode
+
+    from amity.llm.bpe import _encoder
+
+    tokens = [bytes([i]) for i in range(256)]
+
+    def vocabulary(*last):
+        return b"\n".join(b64encode(t) + b" %d" % i for i, t in enumerate([*tokens, *last]))
+
+    assert list(_encoder(vocabulary(b"ab", b"cd"))["abcd"]) == [256, 257]
+    assert list(_encoder(vocabulary(b"cd", b"ab"))["abcd"]) == [257, 256]

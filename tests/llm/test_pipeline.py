@@ -92,3 +92,40 @@ def test_no_documents(spark, corpus):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0, name
+
+
+CLASHING = {c: "doc_id" for c in ("row", "doc", "place", "copies", "copy", "toxicity", "gone", "fp", "component", "key", "whole")}
+
+
+def test_clashing_columns(spark, corpus):
+    """Whatever other columns there are, each stage gives them back and the same documents."""
+    folder, *_ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60 OR doc_id IS NULL")
+    more = docs.withColumns({c: docs[x] for c, x in CLASHING.items()})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, clashing = stage(spark, docs, folder), stage(spark, more, folder)
+        assert clashing.columns == more.columns, name
+        got = [tuple(r) for r in clashing.collect()]
+        assert all(set(r[len(docs.columns) :]) == {r[0]} for r in got), name
+        assert sorted(r[: len(docs.columns)] for r in got if r[0] is not None) == sorted(tuple(r) for r in plain.collect() if r[0] is not None)
+
+
+def test_rates_are_by_row(spark, corpus, monkeypatch):
+    """Two texts of one id, of which one goes and one stays."""
+    folder, *_ = corpus
+    docs = spark.createDataFrame(
+        [(1, "a", "en", "s", 1), (1, "b", "en", "s", 1), (2, "c", "en", "s", 1), (None, "d", "en", "s", 1)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    times = {"a": 0, "b": 1, "c": 3, "d": 0}
+
+    def rated(docs, *_, keep):
+        from pyspark.sql import functions as F
+
+        copies = F.element_at(F.create_map(*[F.lit(x) for pair in times.items() for x in pair]), F.col("text"))
+        return docs.select("doc_id", *keep, copies.alias("copies"))
+
+    monkeypatch.setattr(corpus_pipeline, "mix", rated)
+    out = corpus_pipeline.mixing(spark, docs, folder)
+    assert out.columns == docs.columns
+    assert sorted(r.text for r in out.collect()) == ["b", "c", "c", "c", "d"]
