@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from amity.functions import access_summary
 from amity.operators.ordering import ordered
@@ -49,13 +50,17 @@ def page_bitmaps(logs: DataFrame) -> DataFrame:
 
     A word holds as many pages as fit a number, so the rows are never more than those by
     (visitor, page), one number wider, and up to 64 times fewer; both aggregates merge map-side.
-    Unreadable pages are in the word NULL, with visits and no bitmap. Tables of this form add up:
-    see ``merged_access_stats``.
+    Unreadable pages are in the word NULL, with visits and no bitmap. Pages of another type than
+    whole numbers, such as text, are a word each. Tables of this form add up: see
+    ``merged_access_stats``.
     """
-    page = F.expr("shiftleft(1L, cast(WhatPage & 63 as int))")
+    if isinstance(logs.schema["WhatPage"].dataType, T.IntegralType):
+        word, page = F.shiftright("WhatPage", 6), F.expr("shiftleft(1L, cast(WhatPage & 63 as int))")
+    else:
+        word, page = F.col("WhatPage"), F.expr("if(WhatPage IS NULL, NULL, 1L)")
     return (
         logs.where(F.col("ByWho").isNotNull())
-        .groupBy("ByWho", F.shiftright("WhatPage", 6).alias("word"))
+        .groupBy("ByWho", word.alias("word"))
         .agg(F.count("*").alias("visits"), F.bit_or(page).alias("pages"))
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from amity.functions import parse_long
 from amity.operators.users import profiles_by_id
@@ -45,7 +46,10 @@ SIEVE_BITS = 1 << 23
 
 
 def _with_place(pairs: DataFrame, bits: int) -> DataFrame:
-    place = F.pmod(F.xxhash64("PersonA_ID", "PersonB_ID"), F.lit(bits))
+    """Numbers of any width hash as ``bigint``, as the same number of another width hashes otherwise."""
+    whole = isinstance(pairs.schema["PersonA_ID"].dataType, T.IntegralType)
+    ends = [F.col(c).cast("bigint") if whole else F.col(c) for c in ("PersonA_ID", "PersonB_ID")]
+    place = F.pmod(F.xxhash64(*ends), F.lit(bits))
     return pairs.withColumns({"word": F.shiftright(place, 6), "bit": (place % 64).cast("int")})
 
 
@@ -62,6 +66,9 @@ def pair_sieve(pairs: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
 
 def _sieved(visits: DataFrame, friends: DataFrame, bits: int) -> DataFrame:
     """The visits that may match a friendship. Equal pairs hash alike, so no match is lost."""
+    kinds = {isinstance(f.dataType, T.IntegralType) or f.dataType for df in (visits, friends) for f in df.schema}
+    if len(kinds) > 1:
+        raise ValueError("a sieve needs ids of one type on both sides, or whole numbers")
     # At most bits / 64 rows of two numbers.
     sieve = F.broadcast(pair_sieve(friends, bits))
     is_set = F.call_function("shiftright", F.col("set"), F.col("bit")).bitwiseAND(F.lit(1)) == 1

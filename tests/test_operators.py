@@ -327,6 +327,13 @@ class TestBitmaps:
     def test_unreadable_pages_and_visitors(self, spark, rows):
         assert rows(ops.access_stats(self.logs(spark, self.VISITS))) == [(1, 8, 6), (2, 2, 2), (3, 1, 0)]
 
+    def test_pages_of_other_types(self, spark, rows):
+        visits = [(1, "x"), (1, "y"), (1, "x"), (1, None), (2, None)]
+        logs = spark.createDataFrame(visits, "ByWho int, WhatPage string")
+        assert rows(ops.access_stats(logs)) == [(1, 4, 2), (2, 1, 0)]
+        logs = spark.createDataFrame([(1, 3), (1, -70), (1, 3)], "ByWho int, WhatPage int")
+        assert rows(ops.access_stats(logs)) == [(1, 3, 2)]
+
     def test_tables_add_up(self, spark, rows):
         """However the accesses are dealt to days, and with a day that has none."""
         whole = rows(ops.access_stats(self.logs(spark, self.VISITS * 3)))
@@ -353,6 +360,17 @@ class TestSieve:
         logs = spark.createDataFrame([(1, 2)], "ByWho long, WhatPage long")
         assert ops.unvisited_friend_pairs(friends, logs, sieve_bits=64).count() == 0
 
+    def test_ids_of_other_types(self, spark, rows):
+        pairs = [(1, 2), (1, 3), (4, 5)]
+        friends = spark.createDataFrame(pairs, "PersonA_ID int, PersonB_ID long")
+        logs = spark.createDataFrame([(1, 2), (4, 5)], "ByWho long, WhatPage short")
+        assert rows(ops.unvisited_friend_pairs(friends, logs, sieve_bits=1 << 16)) == [(1, 3)]
+        texts = friends.selectExpr("string(PersonA_ID) PersonA_ID", "string(PersonB_ID) PersonB_ID")
+        visits = logs.selectExpr("string(ByWho) ByWho", "string(WhatPage) WhatPage")
+        assert rows(ops.unvisited_friend_pairs(texts, visits, sieve_bits=1 << 16)) == [("1", "3")]
+        with pytest.raises(ValueError, match="one type"):
+            ops.unvisited_friend_pairs(texts, logs, sieve_bits=1 << 16)
+
     def test_visits_without_friendship_stop(self, spark):
         from amity.operators.friends import _sieved
 
