@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 LEAF_BYTES = 6
 CACHED_PIECES = 400_000
 CACHED_MERGES = 100_000
+CACHED_BYTES = 64  # longer pieces and windows are not cached, so that the caches are bounded in bytes
 DECODE_BLOCK = 1024
 
 
@@ -39,7 +40,7 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 class TreeEncoder(dict):
     """Ids of a piece (text) by looking it up; what is missing is encoded.
 
-    Holds at most ``CACHED_PIECES`` pieces, then starts anew.
+    Holds at most ``CACHED_PIECES`` pieces of ``CACHED_BYTES`` or fewer, then starts anew.
     """
 
     def __init__(self, ranks: dict[bytes, int], leaf_bytes: int = LEAF_BYTES):
@@ -52,8 +53,10 @@ class TreeEncoder(dict):
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) >= CACHED_PIECES:
             self.clear()
-        ranks = self.ranks
-        ids = self[piece] = tuple(ranks[t] for t in self.encode(piece.encode()))
+        whole = piece.encode()
+        ids = tuple(map(self.ranks.__getitem__, self.encode(whole)))
+        if len(whole) <= CACHED_BYTES:
+            self[piece] = ids
         return ids
 
     def encode(self, piece: bytes) -> list[bytes]:
@@ -66,9 +69,12 @@ class TreeEncoder(dict):
 
     def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
         """The encoding of two encoded neighbours' bytes."""
+        if self.apart(left[-1], right[0]):  # then the border is settled as it is
+            return left + right
         before, after = len(left) - 1, 1
         while True:
-            window = self.short(b"".join(left[before:]) + b"".join(right[:after]))
+            border = b"".join(left[before:]) + b"".join(right[:after])
+            window = self.short(border) if len(border) <= CACHED_BYTES else self.merge(border)
             left_open = before > 0 and not self.apart(left[before - 1], window[0])
             right_open = after < len(right) and not self.apart(window[-1], right[after])
             if not left_open and not right_open:
@@ -85,7 +91,7 @@ class TreeEncoder(dict):
         """Merge the pair of lowest rank, the leftmost of equals, until none is left."""
         if piece in self.ranks:
             return [piece]
-        if len(piece) > 64:
+        if len(piece) > CACHED_BYTES:
             return self._merge_long(piece)
         ranks = self.ranks
         parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -189,7 +195,7 @@ def decode_documents(
         for batch in batches:
             out = []
             for value in batch.column(batch.schema.get_field_index(ids)):
-                row = value.values.to_pylist() if value.is_valid else []
+                row = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else []
                 blocks = [
                     b"".join(map(tokens.__getitem__, row[i : i + DECODE_BLOCK]))
                     for i in range(0, len(row), DECODE_BLOCK)
