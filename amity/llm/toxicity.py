@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate, chain
 
@@ -37,11 +37,14 @@ from pyspark.sql import types as T
 
 SAMPLE_PER_LABEL = 20_000
 PREFIXES = (7, 5, 4, 3)
+SHORT_FIRST = PREFIXES[::-1]
+SHORTEST = SHORT_FIRST[0]
 MIN_TOXIC = 6  # a form must be seen as often in toxic documents
 MIN_Z = 3.0
 PRIOR_SHARE = 1.0  # the prior's mass, as a share of the toxic documents
 TOKEN = re.compile(r"[^\W_]+")
 FLUSH_AT = 300_000
+UNLABELLED = -1
 
 
 def forms(token: str) -> list[str]:
@@ -49,22 +52,60 @@ def forms(token: str) -> list[str]:
     return [token, *(token[:n] + "*" for n in PREFIXES if len(token) > n)]
 
 
+def beginnings(known: Iterable[str]) -> frozenset[str]:
+    """How tokens with one of the known forms begin."""
+    return frozenset(f.rstrip("*")[:SHORTEST] for f in known)
+
+
 class Weights(dict):
     """A raw token's weight by looking it up."""
 
     def __init__(self, by_form: dict[str, float], rest: float):
         super().__init__()
         self.by_form, self.rest = by_form, rest
+        self.begin = beginnings(by_form)
 
     def __missing__(self, raw: str) -> float:
         if len(self) >= FLUSH_AT:
             self.clear()
-        weight = self[raw] = next(
-            (self.by_form[f] for f in forms(raw.lower()) if f in self.by_form), self.rest
-        )
+        token, weight = raw.lower(), self.rest
+        if token[:SHORTEST] in self.begin:
+            weight = next((self.by_form[f] for f in forms(token) if f in self.by_form), weight)
+        self[raw] = weight
         return weight
 
 
+class Forms(dict):
+    """A raw token's counted forms by looking it up: the wanted ones, or all.
+
+    A wanted form's shorter prefixes are wanted too, as they are at least as frequent; so the
+    first one that isn't ends the search.
+    """
+
+    def __init__(self, wanted: frozenset[str] | None):
+        super().__init__()
+        self.wanted = wanted
+
+    def __missing__(self, raw: str) -> tuple[str, ...]:
+        if len(self) >= FLUSH_AT:
+            self.clear()
+        token = raw.lower()
+        found = self[raw] = tuple(forms(token) if self.wanted is None else self._known(token))
+        return found
+
+    def _known(self, token: str) -> list[str]:
+        found = []
+        for n in SHORT_FIRST:
+            if len(token) <= n:
+                break
+            if (form := token[:n] + "*") not in self.wanted:
+                return found
+            found.append(form)
+        if token in self.wanted:
+            found.append(token)
+        return found
+
+
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as (start, end, score), in order; linear time."""
     found: list[list] = []  # start, end, sum before start, sum at end, index of the last with a lower sum before
@@ -144,19 +185,12 @@ def labelled_sample(labels: DataFrame, per_label: int, id_col: str, label_col: s
 
 def _counts(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     """``form, label, n`` of documents (``text, label``): in how many a form occurs, for the wanted
-    forms or all; the documents themselves under the empty form, their different tokens under a blank."""
+    forms (with all their shorter ones) or all; the documents themselves under the empty form, and of
+    labels 0 and 1 their different tokens under a blank."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: dict[int, Counter] = {}
-        known: dict[str, list[str]] = {}  # a token's counted forms
-
-        def counted(token: str) -> list[str]:
-            found = known.get(token)
-            if found is None:
-                if len(known) >= FLUSH_AT:
-                    known.clear()
-                found = known[token] = [f for f in forms(token) if wanted is None or f in wanted]
-            return found
+        known = Forms(wanted)
 
         def flush() -> pa.RecordBatch:
             rows = []
@@ -171,10 +205,13 @@ def _counts(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
 
         for batch in batches:
             for value, label in zip(batch.column(0), batch.column(1), strict=True):
-                own = set(map(str.lower, TOKEN.findall(value.as_py() or "")))
-                seen = tokens.setdefault(label.as_py(), Counter())
-                seen.update(set(chain.from_iterable(map(counted, own))))
-                seen.update({"": 1, " ": len(own)})
+                own = set(TOKEN.findall(value.as_py() or ""))
+                label = label.as_py()
+                seen = tokens.setdefault(label, Counter())
+                seen.update(set(chain.from_iterable(map(known.__getitem__, own))))
+                seen[""] += 1
+                if label != UNLABELLED:
+                    seen[" "] += len(set(map(str.lower, own)))
                 if sum(map(len, tokens.values())) >= FLUSH_AT:
                     yield flush()
         yield flush()
@@ -207,19 +244,22 @@ def fit(
     sample = labelled_sample(labels, per_label, id_col, label_col).withColumnRenamed(id_col, "id")
     drawn = texts.join(F.broadcast(sample), "id")
 
-    seen = {0: {}, 1: {}}
-    counted = _counts(drawn.where("part = 1"), None)
-    often = counted.where("label = 1 AND n >= %d" % MIN_TOXIC).select("form")
-    for r in counted.join(often, "form", "left_semi").collect():
-        seen[r["label"]][r["form"]] = r["n"]
+    # Toxic documents say which forms matter; one pass over all documents counts these, the
+    # sample's other documents by themselves.
+    toxic = _counts(drawn.where("part = 1 AND label = 1"), None).where(F.col("n") >= MIN_TOXIC)
+    seen = {0: {}, 1: {r["form"]: r["n"] for r in toxic.collect()}}
+    wanted = frozenset(seen[1]) - {"", " "}
+    other = sample.where("part = 1 AND label = 0").select("id", "label")
+    labelled = texts.join(F.broadcast(other), "id", "left")
+    corpus: dict[str, int] = Counter()
+    for r in _counts(labelled.select("text", F.coalesce("label", F.lit(UNLABELLED)).alias("label")), wanted).collect():
+        corpus[r["form"]] += r["n"]
+        if r["label"] == 0:
+            seen[0][r["form"]] = r["n"]
     totals = [seen[x].pop("", 0) for x in (0, 1)]
     tokens = [max(1, seen[x].pop(" ", 0)) for x in (0, 1)]
     if not totals[0] or not totals[1]:
         return Model({}, 0.0, slope=0.0, offset=math.log(base / (1 - base)))
-    corpus = {
-        r["form"]: r["n"]
-        for r in _counts(texts.withColumn("label", F.lit(0)), frozenset(seen[1])).collect()
-    }
     weights, rest = _weights(seen, totals, tokens, corpus)
     return _calibrated(Model(weights, rest), drawn.where("part = 0"), shares)
 
