@@ -9,15 +9,17 @@ the entropy ``log(n) / log(m)`` and the importance 1 less that. A node's importa
 
     (1 - GAMMA**l) * presentation + GAMMA**l * contents
 
-for ``l`` children. Texts of nodes below ``LOW`` are dropped from every page.
-Few pages (under ``MIN_PAGES``) say nothing about a node, and the article itself
-is never dropped.
+for ``l`` children. A prior of ``PRIOR`` pages of importance 1 stands beside the host's own, so that
+few pages move it little; hosts of any size are treated alike. Texts of nodes below ``LOW`` are
+dropped from every page, but the article itself never is.
 
 What every page says about itself goes first: menus, headers, footers, asides,
-forms, scripts and the like by tag, role, class or id, and hidden elements. The
-text is that of the article elements; without one of the main element; without
-one of an element named as content; without one of the whole body, where lists
-and containers of mostly links go as well.
+scripts and the like by tag or role, and hidden elements, with all they hold; forms and
+elements named as noise by class or id, unless the page has its article in one of them
+only. A name that says what an element has or lacks (``has-sidebar``) is none of the element.
+The text is that of the article elements, or of the main element where that has more text
+outside of articles than all articles together; without either, of an element named as content;
+without one, of the whole body, where lists and containers of mostly links go as well.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from amity.llm.tables import shared_table
 
 GAMMA = 0.9
 LOW = 0.2
-MIN_PAGES = 5
+PRIOR = 0.5
 LINKED = 0.6  # share of a container's characters in links that makes it a menu
 
 MARKUP = re.compile(
@@ -62,7 +64,7 @@ CONTAINERS = frozenset(
     " table ul".split()
 )
 NOISE_TAGS = frozenset(
-    "nav footer aside form menu button select dialog head svg canvas audio video object map search datalist label".split()
+    "nav footer aside menu button select dialog head svg canvas audio video object map search datalist label".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 NOISE_NAMES = frozenset(
@@ -72,6 +74,8 @@ NOISE_NAMES = frozenset(
     " consent notice notices gdpr popup modal overlay login search pagination pager copyright disclaimer skip toolbar"
     " topbar".split()
 )
+# Words before a name that make it a property: "has-sidebar", "no-comments".
+PROPERTY_WORDS = frozenset("has have no not with without hide hidden show enable disable".split())
 CONTENT_NAMES = frozenset("content article post entry story maincontent articlebody main".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 # An opening tag that ends an open one of these, up to the nearest of the stops.
@@ -90,22 +94,21 @@ ENDS = {
 class Node:
     """A container of one page."""
 
-    path: str
+    key: int  # a hash of the path from the root, by the parent's
     tag: str
     children: list[str] = field(default_factory=list)
     texts: list[str] = field(default_factory=list)
     chars: int = 0
     linked: int = 0
 
-    @property
-    def key(self) -> int:
-        return xxhash.xxh64_intdigest(self.path) - (1 << 63)
+    def child(self, name: str) -> int:
+        return xxhash.xxh64_intdigest(name, self.key + (1 << 63)) - (1 << 63)
 
 
 @dataclass
 class Open:
     tag: str
-    noise: bool
+    noise: int  # 0: none, 1: by name or form, 2: by tag or role, or hidden
     regions: int  # bits: 1 in an article, 2 in main, 4 in an element named as content
     node: Node
 
@@ -113,19 +116,22 @@ class Open:
 @dataclass
 class Block:
     text: str
+    noise: int
     regions: int
     node: Node
 
 
 def _names(value: str) -> set[str]:
-    return {w.lower() for w in WORDS.findall(value)}
+    """The words of class names and ids, without those of properties."""
+    split = ([w.lower() for w in WORDS.findall(name)] for name in value.split())
+    return {w for words in split if words and not (words[0] in PROPERTY_WORDS and len(words) > 1) for w in words}
 
 
-def parse(page: str) -> tuple[list[Block], dict[str, Node]]:
-    """The blocks of text that a page does not itself mark as noise, and all its containers."""
-    root = Node("", "")
-    nodes: dict[str, Node] = {"": root}
-    stack = [Open("", False, 0, root)]
+def parse(page: str) -> tuple[list[Block], dict[int, Node]]:
+    """The blocks of text that a page does not itself mark as noise for certain, and all its containers."""
+    root = Node(0, "")
+    nodes: dict[int, Node] = {0: root}
+    stack = [Open("", 0, 0, root)]
     blocks: list[Block] = []
     buffer: list[str] = []
     link = linked = 0
@@ -140,8 +146,8 @@ def parse(page: str) -> tuple[list[Block], dict[str, Node]]:
                 top.node.texts.append(text)
                 top.node.chars += len(text)
                 top.node.linked += min(linked, len(text))
-                if not top.noise:
-                    blocks.append(Block(text, top.regions, top.node))
+                if top.noise < 2:
+                    blocks.append(Block(text, top.noise, top.regions, top.node))
         linked = 0
 
     def add(raw: str) -> None:
@@ -205,43 +211,52 @@ def parse(page: str) -> tuple[list[Block], dict[str, Node]]:
         if tag == "a":
             link += 1
         names = _names(attributes.get("class", "") + " " + attributes.get("id", "")) if attributes else set()
-        noise = (
-            tag in NOISE_TAGS
-            or (tag == "header" and not top.regions & 3)
-            or bool(names & NOISE_NAMES)
-            or bool(names == {"header"})
-            or attributes.get("role", "").lower() in NOISE_ROLES
-            or "hidden" in attributes
-            or attributes.get("aria-hidden", "").lower() == "true"
-            or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-        ) and tag not in ("body", "html")
+        noise = 0
+        if tag not in ("body", "html"):
+            if (
+                tag in NOISE_TAGS
+                or (tag == "header" and not top.regions & 3)
+                or attributes.get("role", "").lower() in NOISE_ROLES
+                or "hidden" in attributes
+                or attributes.get("aria-hidden", "").lower() == "true"
+                or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+            ):
+                noise = 2
+            elif tag == "form" or names & NOISE_NAMES or names == {"header"}:
+                noise = 2 if top.regions & 3 else 1  # inside an article it can hold none
         if tag not in BLOCKS and not noise:
             continue
         node = top.node
         node.children.append(tag)
         if tag in CONTAINERS:
             style = "".join(f".{v}" for k, v in sorted(attributes.items()) if k in ("class", "id"))
-            path = f"{node.path}/{tag}{style}"
-            node = nodes.setdefault(path, Node(path, tag))
+            key = node.child(f"{tag}{style}")
+            node = nodes.setdefault(key, Node(key, tag))
         regions = top.regions
-        if not noise:
+        if noise < 2:
             regions |= 1 if tag == "article" else 2 if tag == "main" or attributes.get("role") == "main" else 0
             if names & CONTENT_NAMES and tag in CONTAINERS:
                 regions |= 4
         if tag not in BLOCKS:
             flush()
-        stack.append(Open(tag, top.noise or noise, regions, node))
+        stack.append(Open(tag, max(top.noise, noise), regions, node))
     flush()
     return blocks, nodes
 
 
 def main_blocks(blocks: list[Block], low: frozenset[int] = frozenset()) -> list[str]:
     """The texts of the article among ``blocks``, without nodes of low importance."""
-    for bit in (1, 2, 4):
-        if chosen := [b for b in blocks if b.regions & bit]:
+    clean = [b for b in blocks if not b.noise]
+    for some in (clean, blocks):  # what stands in a doubtful element counts only where nothing else is an article
+        article = [b for b in some if b.regions & 1]
+        main = [b for b in some if b.regions & 2]
+        beside = sum(len(b.text) for b in main if not b.regions & 1)
+        if chosen := main if beside > sum(len(b.text) for b in article) else article:
             break
     else:
-        chosen = [b for b in blocks if b.node.tag == "article" or b.node.linked < LINKED * max(1, b.node.chars)]
+        chosen = [b for b in clean if b.regions & 4] or [
+            b for b in clean if b.node.tag == "article" or b.node.linked < LINKED * max(1, b.node.chars)
+        ]
     if low:
         chosen = [b for b in chosen if not _removable(b.node) or b.node.key not in low]
     return [b.text for b in chosen]
@@ -297,12 +312,15 @@ def style_tree(pages: DataFrame) -> DataFrame:
     log_m = F.log("pages")
     presentation = 1 - F.col("shown") / (F.col("pages") * log_m)
     contents = 1 - F.col("told") / (F.col("texts") * log_m)
+    own = F.col("pages") / (F.col("pages") + PRIOR)
     share = F.pow(F.lit(GAMMA), F.col("children") / F.col("pages"))
     return nodes.select(
         "host",
         "node",
         "pages",
-        F.when(F.col("pages") > 1, (1 - share) * presentation + share * contents).otherwise(1.0).alias("importance"),
+        F.when(F.col("pages") > 1, ((1 - share) * presentation + share * contents) * own + 1 - own)
+        .otherwise(1.0)
+        .alias("importance"),
     )
 
 
@@ -322,7 +340,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", out: str = "
         F.lower(F.coalesce(F.try_parse_url(F.col(url), F.lit("HOST")), F.lit(""))).alias("host"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),
     )
-    low = style_tree(rows).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW))
+    low = style_tree(rows).where(F.col("importance") < LOW)
     low = shared_table(low.groupBy("host").agg(F.collect_set("node").alias("low")))
     # A page can only lose nodes that it has, so its host's list is all it needs.
     joined = rows.join(low, "host", "left").select("row", "html", "low")
