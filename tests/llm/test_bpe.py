@@ -62,3 +62,21 @@ def test_vocabularies_that_begin_alike():
 
     assert list(_encoder(vocabulary(b"ab", b"cd"))["abcd"]) == [256, 257]
     assert list(_encoder(vocabulary(b"cd", b"ab"))["abcd"]) == [257, 256]
+
+
+def test_caches_are_bounded_in_memory():
+    import random
+    import tracemalloc
+
+    random.seed(3)
+    encoder = TreeEncoder(RANKS)
+    tracemalloc.start()
+    try:
+        base = tracemalloc.get_traced_memory()[0]
+        for _ in range(300_000):
+            piece = " " + "".join(random.choice("abcdefghij%") for _ in range(random.randint(3, 10)))
+            assert [RANKS[t] for t in encoder.encode(piece.encode())] == list(encoder[piece])
+        held = tracemalloc.get_traced_memory()[0] - base
+    finally:
+        tracemalloc.stop()
+    assert held < 50_000_000  # the worker keeps it between tasks; six workers share an executor
